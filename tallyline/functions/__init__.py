@@ -6,13 +6,13 @@ from tallyline.functions.dates import (
     year_month,
 )
 from tallyline.functions.numbers import mean, money, percent, ratio
-from tallyline.functions.text import concat_nulls_as_empty, list_items, list_length, null_if_sentinel, strip_unit
+from tallyline.functions.text import concat_nulls_as_empty, list_ids, list_length, null_if_sentinel, strip_unit
 
 __all__ = [
     "concat_nulls_as_empty",
     "day_of",
     "dow_sunday_zero",
-    "list_items",
+    "list_ids",
     "list_length",
     "mean",
     "minutes_between",

@@ -42,38 +42,39 @@ def exact_percentiles(df: DataFrame, value: str, percentiles: Mapping[str, str])
     The values are narrowed 16 bits at a time. Each level counts the next 16 bits of the values that
     share the bits found so far, adds the counts up in order and keeps, per percentile, the part
     holding its rank. A task therefore ranks at most 65,536 counts, however many values there are and
-    however they cluster, and the last level leaves one value. Only the found prefixes, one row per
-    percentile, are broadcast. No level holds all distinct values in one place, as the built-in
-    ``percentile_disc`` does.
+    however they cluster, and the last level leaves one value. Counting is partial before its shuffle,
+    so only counts travel, and only the found prefixes, one row per percentile, are broadcast. No level
+    holds all distinct values in one place, as the built-in ``percentile_disc`` does.
+
+    ``df`` is read once per level (four at most), its one column only: materialise it first if it is
+    costly to compute.
     """
     data_type = df.schema[value].dataType
     key, bits = _as_long(F.col(value), data_type)
     levels = math.ceil(bits / DIGIT_BITS)
-    # Declared non-null, so that no level's join adds a null filter and all levels share one exchange.
-    present = df.where(F.col(value).isNotNull()).select(F.coalesce(key, F.lit(0)).alias("key"))
-    counts = present.groupBy("key").agg(F.count("*").alias("n"))
-
-    wanted = F.array(
-        *[F.struct(F.lit(out).alias("out"), F.lit(Decimal(p)).cast("decimal(18,10)").alias("p")) for out, p in percentiles.items()]
-    )
-    ranks = counts.agg(F.sum("n").alias("total")).select("total", F.inline(wanted))
-    rank = F.greatest(F.ceil(F.col("p") * F.col("total").cast("decimal(19,0)")).cast("bigint"), F.lit(1))
-    found = ranks.select("out", F.lit(0).cast("bigint").alias("prefix"), rank.alias("rank"))
+    keys = df.where(F.col(value).isNotNull()).select(key.alias("key"))
+    in_order = Window.partitionBy("out").orderBy("part")
 
+    found = None
     for level in range(levels):
         shift = DIGIT_BITS * (levels - 1 - level)
-        part = F.shiftright("key", shift)
-        if level == 0:
-            histogram = counts.groupBy(F.lit(0).cast("bigint").alias("prefix"), part.alias("part")).agg(
-                F.sum("n").alias("n")
+        part = F.shiftright("key", shift).alias("part")
+        if found is None:
+            counts = keys.groupBy(part).agg(F.count("*").alias("n"))
+            wanted = F.array(
+                *[
+                    F.struct(F.lit(out).alias("out"), F.lit(Decimal(p)).cast("decimal(18,10)").alias("p"))
+                    for out, p in percentiles.items()
+                ]
             )
-            ranked = histogram.join(F.broadcast(found), "prefix")
+            total = F.sum("n").over(Window.partitionBy("out")).cast("decimal(19,0)")
+            rank = F.greatest(F.ceil(F.col("p") * total).cast("bigint"), F.lit(1))
+            ranked = counts.select("part", "n", F.inline(wanted)).withColumn("rank", rank)
         else:
-            members = counts.select(F.shiftright("key", shift + DIGIT_BITS).alias("prefix"), part.alias("part"), "n")
-            ranked = (
-                members.join(F.broadcast(found), "prefix").groupBy("out", "rank", "part").agg(F.sum("n").alias("n"))
-            )
-        upto = F.sum("n").over(Window.partitionBy("out").orderBy("part"))
+            prefix = F.shiftright("key", shift + DIGIT_BITS)
+            members = keys.select(part, prefix.alias("prefix")).join(F.broadcast(found), "prefix")
+            ranked = members.groupBy("out", "rank", "part").agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(in_order)
         found = (
             ranked.withColumn("upto", upto)
             .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))

@@ -7,32 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions import list_items
+from tallyline.functions import list_ids
 from tallyline.operators.joins import broadcast_if_small
 
 
-def explode_list(df: DataFrame, column: str, out: str, type_name: str = "bigint", sep: str = ",") -> DataFrame:
-    """One row per item of the list; rows without items vanish. The list column is dropped."""
-    exploded = df.withColumn(out, F.explode(list_items(F.col(column), sep)))
-    return exploded.withColumn(out, F.col(out).try_cast(type_name)).drop(column)
+def explode_list(df: DataFrame, column: str, out: str, sep: str = ",") -> DataFrame:
+    """One row per id in the list; rows without ids vanish. The list column is dropped."""
+    exploded = df.withColumn(out, F.explode(list_ids(F.col(column), sep)))
+    return exploded.where(F.col(out).isNotNull()).drop(column)
 
 
-def zip_lists(
-    df: DataFrame, first: str, second: str, out_first: str, out_second: str, type_name: str = "bigint"
-) -> DataFrame:
+def zip_lists(df: DataFrame, first: str, second: str, out_first: str, out_second: str) -> DataFrame:
     """Explode two lists in lockstep, padding the shorter with NULL. Both list columns are dropped."""
-    empty = F.array().cast("array<string>")
+    empty = F.array().cast("array<bigint>")
     pairs = F.arrays_zip(
-        F.coalesce(list_items(F.col(first)), empty).alias("a"),
-        F.coalesce(list_items(F.col(second)), empty).alias("b"),
+        F.coalesce(list_ids(F.col(first)), empty).alias(out_first),
+        F.coalesce(list_ids(F.col(second)), empty).alias(out_second),
     )
     others = [c for c in df.columns if c not in (first, second)]
-    return (
-        df.withColumn("_pair", F.explode(pairs))
-        .withColumn(out_first, F.col("_pair.a").try_cast(type_name))
-        .withColumn(out_second, F.col("_pair.b").try_cast(type_name))
-        .select(*others, out_first, out_second)
-    )
+    return df.select(*others, F.inline(pairs).alias(out_first, out_second))
 
 
 def signed_tally(
@@ -46,26 +39,105 @@ def signed_tally(
 ) -> DataFrame:
     """Net count per key and list element: +1 in ``base``, -1 in ``removed``, +1 in ``added``.
 
-    The three signed lists are put together inside the row, so the input is read and shuffled once.
-    ``weight`` names a column that counts how many equal lines a row stands for. The sums are combined
-    before the shuffle, so a hot key sends one row per element and task.
+    The three lists of a row are unfolded together, so the input is read and shuffled once. ``weight``
+    names a column that counts how many equal lines a row stands for. The sums are combined before the
+    shuffle, so a hot key sends one row per element and task.
     """
-
-    def signed(column: str, sign: int) -> Column:
-        items = F.transform(
-            list_items(F.col(column)),
-            lambda item: F.struct(item.try_cast("bigint").alias("element"), F.lit(sign).alias("sign")),
-        )
-        return F.coalesce(items, F.array().cast("array<struct<element:bigint,sign:int>>"))
-
-    entries = F.concat(signed(base, 1), signed(removed, -1), signed(added, 1))
-    n = F.col(weight) if weight else F.lit(1)
-    exploded = df.select(*keys, n.cast("bigint").alias("_n"), F.explode(entries).alias("_entry"))
+    lists = F.array(
+        *[
+            F.struct(list_ids(F.col(column)).alias("ids"), F.lit(sign).cast("bigint").alias("sign"))
+            for column, sign in ((base, 1), (removed, -1), (added, 1))
+        ]
+    )
+    n = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    signed = df.select(*keys, n.alias("_n"), F.inline(lists).alias("_ids", "_sign"))
     return (
-        exploded.select(*keys, F.col("_entry.element").alias(element), (F.col("_entry.sign") * F.col("_n")).alias("_s"))
+        explode_ids(signed, "_ids", element)
         .groupBy(*keys, element)
-        .agg(F.sum("_s").alias("net"))
+        .agg(F.sum(F.col("_sign") * F.col("_n")).alias("net"))
+    )
+
+
+def net_list(
+    df: DataFrame,
+    keys: Sequence[str],
+    removed: str,
+    added: str,
+    bases: DataFrame,
+    base_key: str,
+    base: str,
+    names: DataFrame,
+    name_key: str,
+    name: str,
+    out: str,
+    max_names: int = 64,
+) -> DataFrame:
+    """Per key, the net elements of its rows as ``'2xa, b'`` text in order of name.
+
+    Each row brings the list ``base`` that ``bases`` holds for its ``base_key`` (one of ``keys``), less
+    its ``removed`` and plus its ``added`` elements; counts of zero or less are left out, and so are keys
+    with nothing left.
+
+    Up to ``max_names`` elements (counted first) are tallied in one column each. Only the changes are
+    unfolded, next to one marker per row that counts it; the base list is multiplied by that count after
+    the one aggregate, whose partial sums shuffle one row per key and task. Beyond ``max_names`` all
+    three lists are unfolded, tallied and gathered again.
+    """
+    bases = bases.select(F.col(base_key).alias("_base_key"), F.col(base).alias("_base"))
+    keyed = names.select(F.col(name_key).cast("bigint").alias("_id"), F.col(name).alias("_name"))
+    known = keyed.limit(max_names + 1).collect()
+    if len(known) > max_names:
+        lines = df.join(broadcast_if_small(bases), df[base_key] == F.col("_base_key"), "left")
+        tally = signed_tally(lines, keys, "_element", "_base", removed, added).where(F.col("net") > 0)
+        named = tally.join(keyed, F.col("_element") == F.col("_id"))
+        entry = F.struct(F.col("_name"), _with_count(F.col("net"), F.col("_name")).alias("value"))
+        return named.groupBy(*keys).agg(joined_text(entry).alias(out))
+
+    ids = {row["_id"]: row["_name"] for row in sorted(known, key=lambda row: row["_name"])}
+    marker = min(ids, default=0) - 1
+    lists = F.array(
+        *[
+            F.struct(ids_column.alias("ids"), F.lit(sign).cast("bigint").alias("sign"))
+            for ids_column, sign in (
+                (list_ids(F.col(removed)), -1),
+                (list_ids(F.col(added)), 1),
+                (F.array(F.lit(marker).cast("bigint")), 1),
+            )
+        ]
     )
+    signed = df.select(*keys, F.inline(lists).alias("_ids", "_sign"))
+
+    def tallied(element: int) -> Column:
+        return F.sum(F.when(F.col("_element") == element, F.col("_sign")).otherwise(F.lit(0)))
+
+    totals = (
+        explode_ids(signed, "_ids", "_element")
+        .groupBy(*keys)
+        .agg(tallied(marker).alias("_n"), *[tallied(i).alias(f"_d{i}") for i in ids])
+    )
+    # How often each base list holds each element, worked out once per base and not per row.
+    base_ids = list_ids(F.col("_base"))
+    base_counts = broadcast_if_small(
+        bases.select(
+            "_base_key",
+            *[(F.size(base_ids) - F.size(F.array_remove(base_ids, i))).alias(f"_b{i}") for i in ids],
+        )
+    )
+    joined = totals.join(base_counts, totals[base_key] == base_counts["_base_key"], "left")
+    nets = {i: F.col("_n") * F.coalesce(F.col(f"_b{i}"), F.lit(0)) + F.col(f"_d{i}") for i in ids}
+    shown = [F.when(nets[i] > 0, _with_count(nets[i], F.lit(label))) for i, label in ids.items()]
+    anything = F.lit(False)
+    for net in nets.values():
+        anything = anything | (net > 0)
+    return joined.where(anything).select(*keys, F.concat_ws(", ", *shown).alias(out))
+
+
+def _with_count(net: Column, name: Column) -> Column:
+    return F.when(net > 1, F.concat(net.cast("string"), F.lit("x"), name)).otherwise(name)
+
+
+def explode_ids(df: DataFrame, ids: str, out: str) -> DataFrame:
+    return df.withColumn(out, F.explode(ids)).where(F.col(out).isNotNull()).drop(ids)
 
 
 def name_list(
@@ -76,29 +148,24 @@ def name_list(
     Up to ``max_names`` names (counted first) travel as one map and are looked up inside the row,
     without a join. Beyond that each distinct list is named once by a join and joined back.
     """
-    if names.limit(max_names + 1).count() <= max_names:
-        lookup = names.agg(F.map_from_entries(F.collect_list(F.struct(key, name)))).scalar()
-        items = F.transform(
-            list_items(F.col(column)), lambda item: F.try_element_at(F.col("_names"), item.try_cast("bigint"))
-        )
-        text = F.array_join(items, ", ")
-        return (
-            df.withColumn("_names", lookup)
-            .withColumn(out, F.when(F.char_length(text) > 0, text))
-            .drop("_names")
-        )
+    keyed = names.select(F.col(key).cast("bigint").alias("_key"), F.col(name).alias("_name"))
+    if keyed.limit(max_names + 1).count() <= max_names:
+        lookup = keyed.agg(F.map_from_entries(F.collect_list(F.struct("_key", "_name")))).scalar()
+        found = F.transform(list_ids(F.col(column)), lambda i: F.try_element_at(F.col("_names"), i))
+        named = df.withColumn("_names", lookup).withColumn(out, F.array_join(found, ", "))
+        return named.withColumn(out, F.nullif(out, F.lit(""))).drop("_names")
     lists = df.select(F.col(column).alias("_list")).where(F.col("_list").isNotNull()).distinct()
-    items = lists.select("_list", F.posexplode(list_items(F.col("_list"))).alias("_at", "_item"))
-    named = items.join(names, items["_item"].try_cast("bigint") == names[key].cast("bigint"))
+    items = lists.select("_list", F.posexplode(list_ids(F.col("_list"))).alias("_at", "_id"))
+    named = items.join(keyed, items["_id"] == keyed["_key"])
     texts = named.groupBy("_list").agg(
-        joined_text(F.struct(F.col("_at"), F.col(name).alias("value"))).alias(out)
+        joined_text(F.struct(F.col("_at"), F.col("_name").alias("value"))).alias(out)
     )
     return df.join(texts, df[column] == texts["_list"], "left").drop("_list")
 
 
 def joined_text(entry: Column, sep: str = ", ") -> Column:
     """Aggregate ``struct(<sort keys>, value)`` into the values' text, ordered by the struct."""
-    ordered = F.array_sort(F.collect_list(entry))
+    ordered = F.sort_array(F.collect_list(entry))
     return F.array_join(F.transform(ordered, lambda e: e["value"]), sep)
 
 

@@ -14,7 +14,7 @@ from tallyline.functions import (
     ratio,
 )
 from tallyline.operators.joins import enrich
-from tallyline.operators.ranking import first_per_group, top_n
+from tallyline.operators.ranking import top_n
 from tallyline.plans import frames
 from tallyline.sources import append_rows, literal_table, replace_table, scratch_path
 
@@ -159,12 +159,8 @@ def volume_by_weekday(spark: SparkSession, base: str) -> DataFrame:
 
 
 def pickup_minutes_per_order(spark: SparkSession, base: str) -> DataFrame:
-    """One row per delivered order: the lines of an order agree, so any one of them stands for it."""
-    orders = first_per_group(
-        frames.order_lines(spark, base).select("order_id", "line_number", "product_id"),
-        ["order_id"],
-        [F.asc("line_number"), F.asc("product_id")],
-    ).select("order_id")
+    """One row per delivered order: the lines of an order agree, so its number alone stands for them."""
+    orders = frames.order_lines(spark, base).select("order_id").distinct()
     joined = enrich(orders, frames.deliveries(spark, base), "order_id", "delivery_order")
     return _pickup_minutes(joined.where(_delivered())).select("order_id", "minutes").orderBy("order_id")
 

@@ -6,7 +6,7 @@ Each function builds only the joins its caller asks for, always as left joins fr
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,40 +240,55 @@ def recipes(spark: SparkSession, base: str) -> DataFrame:
 # --- weekly sales ----------------------------------------------------------------------------
 
 
-def sales_weeks() -> list[tuple[dt.date, dt.date]]:
-    """Per sales year, the first and last day of the whole weeks whose Monday is in March to September."""
+Span = tuple[dt.date, dt.date]
+
+
+def sales_weeks() -> list[Span]:
+    """Per sales year, the span [first, past) of the whole weeks whose Monday is in March to September."""
     spans = []
     for year in SALES_YEARS:
         march, october = dt.date(year, 3, 1), dt.date(year, 10, 1)
         first = march + dt.timedelta(days=-march.weekday() % 7)
-        last = october + dt.timedelta(days=-october.weekday() % 7)
-        spans.append((first, last - dt.timedelta(days=1)))
+        past = october + dt.timedelta(days=-october.weekday() % 7)
+        spans.append((first, past))
     return spans
 
 
+def iso_weeks(first_week: int, last_week: int) -> list[Span]:
+    """Per sales year, the span [first, past) of a run of ISO weeks."""
+    week = dt.timedelta(weeks=1)
+    return [
+        (dt.date.fromisocalendar(year, first_week, 1), dt.date.fromisocalendar(year, last_week, 1) + week)
+        for year in SALES_YEARS
+    ]
+
+
 WEEKLY_DIMENSIONS = ("platform", "region", "segment", "customer_type")
 
 
 def weekly_sales_raw(
-    spark: SparkSession, base: str, dimensions: Iterable[str] = WEEKLY_DIMENSIONS
+    spark: SparkSession,
+    base: str,
+    dimensions: Iterable[str] = WEEKLY_DIMENSIONS,
+    spans: Sequence[Span] | None = None,
 ) -> DataFrame:
     """Sales per week (as day/month/year text) and the asked dimensions: transactions and sales.
 
     Only the joins behind the asked dimensions are planned. The customer side is put on the orders
-    first, so lines are shuffled once, by order.
+    first, so lines are shuffled once, by order. ``spans`` narrows the season to some of its whole weeks;
+    being plain date ranges, they reach the scan.
     """
     wanted = [d for d in WEEKLY_DIMENSIONS if d in set(dimensions)]
     day = F.col("l_shipdate")
-    in_season = F.lit(False)
-    for first, last in sales_weeks():
-        midnight = dt.datetime.combine(last + dt.timedelta(days=1), dt.time())
-        in_season = in_season | (
-            (day >= F.lit(first).cast("timestamp_ntz")) & (day < F.lit(midnight.date()).cast("timestamp_ntz"))
+    in_span = F.lit(False)
+    for first, past in sales_weeks() if spans is None else spans:
+        in_span = in_span | (
+            (day >= F.lit(first).cast("timestamp_ntz")) & (day < F.lit(past).cast("timestamp_ntz"))
         )
     monday = F.date_sub(F.to_date(day), F.weekday(F.to_date(day)))
     lines = (
         read_table(spark, base, "lineitem")
-        .where(in_season)
+        .where(in_span)
         .select(
             "l_orderkey",
             monday.alias("monday"),

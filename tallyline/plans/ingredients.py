@@ -11,6 +11,7 @@ from tallyline.operators.lists import (
     joined_text,
     name_list,
     named_elements,
+    net_list,
     signed_tally,
     zip_lists,
 )
@@ -101,21 +102,21 @@ def order_item_label(spark: SparkSession, base: str) -> DataFrame:
 
 def order_ingredient_list(spark: SparkSession, base: str) -> DataFrame:
     """Per order and item, ``item: 2xa, b``: the net ingredients of its lines in order of name."""
-    lines = _with_recipe(spark, base, _lines_with_item(spark, base))
-    tally = signed_tally(lines, ["order_id", "item"], "ingredient_id", "recipe", "removed", "added")
-    named = named_elements(
-        tally.where(F.col("net") > 0).withColumnRenamed("ingredient_id", "element"),
-        "element",
+    lists = net_list(
+        _lines_with_item(spark, base),
+        ["order_id", "item"],
+        "removed",
+        "added",
+        frames.recipes(spark, base).withColumnRenamed("recipe_item", "item"),
+        "item",
+        "recipe",
         frames.ingredients(spark),
         "ingredient_id",
+        "ingredient",
+        "ingredients",
     )
-    shown = F.when(F.col("net") > 1, F.concat(F.col("net"), F.lit("x"), F.col("ingredient"))).otherwise(
-        F.col("ingredient")
-    )
-    entry = F.struct(F.col("ingredient"), shown.alias("value"))
-    return named.groupBy("order_id", "item").agg(
-        F.concat(F.col("item"), F.lit(": "), joined_text(entry)).alias("ingredient_list")
-    )
+    text = F.concat(F.col("item"), F.lit(": "), F.col("ingredients"))
+    return lists.select("order_id", "item", text.alias("ingredient_list"))
 
 
 def ingredient_usage_total(spark: SparkSession, base: str) -> DataFrame:

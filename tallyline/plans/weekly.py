@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +29,18 @@ CHANGE_DATE = dt.date(1998, 6, 15)
 CHANGE_WEEK, WINDOW_WEEKS = 25, 4
 
 
-def weekly_sales(spark: SparkSession, base: str, *dimensions: str) -> DataFrame:
+def weekly_sales(
+    spark: SparkSession, base: str, *dimensions: str, spans: Sequence[frames.Span] | None = None
+) -> DataFrame:
     """Cleaned weekly sales at the grain of the week and the asked dimensions.
 
     The date text is parsed, and a segment of ``'null'`` becomes NULL before it is banded, so that it is
-    unknown in all three of segment, age band and demographic.
+    unknown in all three of segment, age band and demographic. Exploding a one-item array makes the
+    parsed date a value of its own, once per weekly row: left as an expression it would be copied into
+    every later filter and pushed with it below the weekly totals, to be parsed for each line.
     """
-    sales = frames.weekly_sales_raw(spark, base, dimensions).withColumn(
-        "week_date", parse_date_text(F.col("week_date"))
+    sales = frames.weekly_sales_raw(spark, base, dimensions, spans).withColumn(
+        "week_date", F.explode(F.array(parse_date_text(F.col("week_date"))))
     )
     week = F.col("week_date")
     sales = sales.withColumns(
@@ -162,7 +167,8 @@ def avg_ticket_by_platform_year(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _before_after(spark: SparkSession, base: str, weeks: int) -> DataFrame:
-    sales = weekly_sales(spark, base)
+    window = dt.timedelta(weeks=weeks)
+    sales = weekly_sales(spark, base, spans=[(CHANGE_DATE - window, CHANGE_DATE + window)])
     period = period_around(F.col("week_date"), CHANGE_DATE, weeks)
     return compare_periods(sales, period, "sales").orderBy(F.desc("period"))
 
@@ -175,18 +181,20 @@ def before_after_12w(spark: SparkSession, base: str) -> DataFrame:
     return _before_after(spark, base, 12)
 
 
-def before_after_by_year(spark: SparkSession, base: str) -> DataFrame:
+def _before_after_by_year(spark: SparkSession, base: str, *by: str) -> DataFrame:
+    spans = frames.iso_weeks(CHANGE_WEEK - WINDOW_WEEKS, CHANGE_WEEK + WINDOW_WEEKS - 1)
     period = period_by_week(F.col("week_number"), CHANGE_WEEK, WINDOW_WEEKS)
-    return compare_periods(weekly_sales(spark, base), period, "sales", ["year_number"]).orderBy(
-        "year_number", F.desc("period")
-    )
+    return compare_periods(weekly_sales(spark, base, *by, spans=spans), period, "sales", ["year_number", *by])
+
+
+def before_after_by_year(spark: SparkSession, base: str) -> DataFrame:
+    return _before_after_by_year(spark, base).orderBy("year_number", F.desc("period"))
 
 
 def before_after_by_year_region(spark: SparkSession, base: str) -> DataFrame:
-    period = period_by_week(F.col("week_number"), CHANGE_WEEK, WINDOW_WEEKS)
-    return compare_periods(
-        weekly_sales(spark, base, "region"), period, "sales", ["year_number", "region"]
-    ).orderBy("year_number", F.desc("period"), F.desc("region"))
+    return _before_after_by_year(spark, base, "region").orderBy(
+        "year_number", F.desc("period"), F.desc("region")
+    )
 
 
 QUERIES = {

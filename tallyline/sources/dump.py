@@ -40,24 +40,20 @@ def parse_tuple_dump(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame,
     )
     literals = [F.get("parsed.literals", F.lit(i)) for i in range(len(names))]
     values = [literal.try_cast(field.dataType) for literal, field in zip(literals, schema.fields)]
-    bad_columns = F.array_compact(
-        F.array(
-            *[
-                F.when(literal.isNotNull() & value.isNull(), name)
-                for literal, value, name in zip(literals, values, names)
-            ]
-        )
-    )
+    bad = [literal.isNotNull() & value.isNull() for literal, value in zip(literals, values)]
+    complete = F.size("parsed.literals") == len(names)
+    accepted = F.col("parsed.well_formed") & complete
+    for column_is_bad in bad:
+        accepted = accepted & ~column_is_bad
+    bad_columns = F.concat_ws(", ", *[F.when(is_bad, name) for is_bad, name in zip(bad, names)])
     reason = (
         F.when(~F.col("parsed.well_formed"), "malformed tuple")
-        .when(F.size("parsed.literals") != len(names), "wrong number of fields")
-        .when(F.size(bad_columns) > 0, F.concat(F.lit("bad value for "), F.array_join(bad_columns, ", ")))
+        .when(~complete, "wrong number of fields")
+        .otherwise(F.concat(F.lit("bad value for "), bad_columns))
     )
-    judged = tuples.withColumn("reason", reason)
-    rows = judged.where(F.col("reason").isNull())
     return (
-        rows.select(*[value.alias(name) for value, name in zip(values, names)]),
-        judged.where(F.col("reason").isNotNull()).select("value", "reason"),
+        tuples.where(accepted).select(*[value.alias(name) for value, name in zip(values, names)]),
+        tuples.where(~accepted).select("value", reason.alias("reason")),
     )
 
 
