@@ -47,14 +47,15 @@ def clean_duration_numeric(spark: SparkSession, base: str) -> DataFrame:
 # --- frames shared by the metrics ------------------------------------------------------------
 
 
-def _order_sizes(spark: SparkSession, base: str) -> DataFrame:
-    """Number of lines per order, on its delivery. Lines are counted before the join."""
-    sizes = frames.order_lines(spark, base).groupBy("order_id").agg(F.count("*").alias("n_lines"))
-    return enrich(sizes, frames.deliveries(spark, base), "order_id", "delivery_order")
-
+def _order_sizes(spark: SparkSession, base: str, **counts: Column) -> DataFrame:
+    """Number of lines per order, and of those meeting each named condition, on its delivery.
 
-def _lines_with_delivery(spark: SparkSession, base: str) -> DataFrame:
-    return enrich(frames.order_lines(spark, base), frames.deliveries(spark, base), "order_id", "delivery_order")
+    Lines are counted before the join, so that an order of any size reaches it as one row.
+    """
+    sizes = frames.order_lines(spark, base).groupBy("order_id").agg(
+        F.count("*").alias("n_lines"), *[F.count_if(condition).alias(name) for name, condition in counts.items()]
+    )
+    return enrich(sizes, frames.deliveries(spark, base), "order_id", "delivery_order")
 
 
 def _pickup_minutes(df: DataFrame) -> DataFrame:
@@ -85,8 +86,8 @@ def successful_per_runner(spark: SparkSession, base: str) -> DataFrame:
 
 
 def delivered_per_item_type(spark: SparkSession, base: str) -> DataFrame:
-    lines = _lines_with_delivery(spark, base).where(_delivered()).select("product_id")
-    per_product = lines.groupBy("product_id").agg(F.count("*").alias("n"))
+    lines = enrich(frames.order_lines(spark, base), frames.deliveries(spark, base), "order_id", "delivery_order")
+    per_product = lines.where(_delivered()).groupBy("product_id").agg(F.count("*").alias("n"))
     return (
         enrich(per_product, frames.items(spark, base), "product_id", "item_product")
         .groupBy("item")
@@ -117,23 +118,28 @@ def max_items_in_order(spark: SparkSession, base: str) -> DataFrame:
 
 
 def changed_vs_unchanged(spark: SparkSession, base: str) -> DataFrame:
-    changed = F.when(list_length(F.col("removed")) + list_length(F.col("added")) > 0, "1").otherwise("0")
+    n_changes = list_length(F.col("removed")) + list_length(F.col("added"))
+    orders = _order_sizes(spark, base, n_changed=n_changes > 0, n_unchanged=n_changes == 0)
+    counts = F.array(
+        F.struct(F.lit("1").alias("changed"), F.col("n_changed").alias("n_items")),
+        F.struct(F.lit("0").alias("changed"), F.col("n_unchanged").alias("n_items")),
+    )
     return (
-        _lines_with_delivery(spark, base)
-        .where(_delivered())
-        .groupBy("customer_id", changed.alias("changed"))
-        .agg(F.count("*").alias("n_items"))
+        orders.where(_delivered())
+        .select("customer_id", F.inline(counts))
+        .where(F.col("n_items") > 0)
+        .groupBy("customer_id", "changed")
+        .agg(F.sum("n_items").alias("n_items"))
         .orderBy(F.desc("n_items"), "customer_id", "changed")
     )
 
 
 def both_removed_and_added(spark: SparkSession, base: str) -> DataFrame:
     both = (list_length(F.col("removed")) > 0) & (list_length(F.col("added")) > 0)
-    lines = frames.order_lines(spark, base).where(both)
     return (
-        enrich(lines, frames.deliveries(spark, base), "order_id", "delivery_order")
+        _order_sizes(spark, base, n_both=both)
         .where(_delivered())
-        .agg(F.count("product_id").alias("n_items"))
+        .agg(F.coalesce(F.sum("n_both"), F.lit(0)).alias("n_items"))
     )
 
 
@@ -173,9 +179,13 @@ def prep_time_correlation(spark: SparkSession, base: str) -> DataFrame:
 
 
 def mean_distance_per_order(spark: SparkSession, base: str) -> DataFrame:
-    lines = _lines_with_delivery(spark, base).where(_delivered())
-    return lines.groupBy("order_id", "customer_id").agg(
-        mean(F.sum("distance"), F.count("distance"), 2).alias("mean_distance")
+    """Mean distance over the lines of each delivered order, an order's lines being one counted row."""
+    measured = F.when(F.col("distance").isNotNull(), F.col("n_lines"))
+    return (
+        _order_sizes(spark, base)
+        .where(_delivered())
+        .groupBy("order_id", "customer_id")
+        .agg(mean(F.sum(F.col("distance") * F.col("n_lines")), F.sum(measured), 2).alias("mean_distance"))
     )
 
 

@@ -14,13 +14,32 @@ from tallyline.plans import frames
 BONUS_KIND = "PROMO"
 
 
-def _per_order(spark: SparkSession, base: str, *totals: Column) -> DataFrame:
+def _member_headers(spark: SparkSession, base: str) -> DataFrame:
+    """The order headers of members, with their join date.
+
+    Members are put on the headers and not on the purchases: the next step joins by order, so a hot
+    customer's orders may be split over tasks here and are combined before they meet again.
+    """
+    headers, joined = frames.order_headers(spark, base), frames.members(spark, base)
+    return headers.join(joined, headers["customer_id"] == joined["member_id"]).drop("member_id")
+
+
+def _on_headers(spark: SparkSession, base: str, lines: DataFrame, of_members: bool) -> DataFrame:
+    if not of_members:
+        return enrich(lines, frames.order_headers(spark, base), "order_id", "order_key")
+    headers = _member_headers(spark, base)
+    return lines.join(headers, lines["order_id"] == headers["order_key"]).drop("order_key")
+
+
+def _per_order(spark: SparkSession, base: str, *totals: Column, of_members: bool = False) -> DataFrame:
     """Line totals per order, on their order header. Lines are combined before the join needs them."""
     lines = frames.purchase_lines(spark, base, priced=True).groupBy("order_id").agg(*totals)
-    return enrich(lines, frames.order_headers(spark, base), "order_id", "order_key")
+    return _on_headers(spark, base, lines, of_members)
 
 
-def _one_line_per_order(spark: SparkSession, base: str, last: bool = False) -> DataFrame:
+def _one_line_per_order(
+    spark: SparkSession, base: str, last: bool = False, of_members: bool = False
+) -> DataFrame:
     """The first (or last) line of each order, on its order header."""
     direction = F.desc if last else F.asc
     lines = first_per_group(
@@ -28,12 +47,7 @@ def _one_line_per_order(spark: SparkSession, base: str, last: bool = False) -> D
         ["order_id"],
         [direction("line_number"), direction("product_id")],
     )
-    return enrich(lines, frames.order_headers(spark, base), "order_id", "order_key")
-
-
-def _of_members(spark: SparkSession, base: str, purchases: DataFrame) -> DataFrame:
-    joined = frames.members(spark, base)
-    return purchases.join(joined, purchases["customer_id"] == joined["member_id"]).drop("member_id")
+    return _on_headers(spark, base, lines, of_members)
 
 
 def spend_per_customer(spark: SparkSession, base: str) -> DataFrame:
@@ -81,14 +95,14 @@ def favourite_item_per_customer(spark: SparkSession, base: str) -> DataFrame:
 
 
 def first_item_after_joining(spark: SparkSession, base: str) -> DataFrame:
-    purchases = _of_members(spark, base, _one_line_per_order(spark, base))
+    purchases = _one_line_per_order(spark, base, of_members=True)
     return first_from(
         purchases, ["customer_id"], F.col("order_date"), F.col("join_date"), [F.asc("order_id")]
     ).select("customer_id", "product_id", "order_date")
 
 
 def last_item_before_joining(spark: SparkSession, base: str) -> DataFrame:
-    purchases = _of_members(spark, base, _one_line_per_order(spark, base, last=True))
+    purchases = _one_line_per_order(spark, base, last=True, of_members=True)
     return last_before(
         purchases, ["customer_id"], F.col("order_date"), F.col("join_date"), [F.desc("order_id")]
     ).select("customer_id", "product_id", "order_date")
@@ -96,9 +110,7 @@ def last_item_before_joining(spark: SparkSession, base: str) -> DataFrame:
 
 def premember_items_and_spend(spark: SparkSession, base: str) -> DataFrame:
     lines = frames.purchase_lines(spark, base, priced=True).select("order_id", "product_id", "amount")
-    purchases = _of_members(
-        spark, base, enrich(lines, frames.order_headers(spark, base), "order_id", "order_key")
-    )
+    purchases = _on_headers(spark, base, lines, of_members=True)
     per_item = (
         purchases.where(F.datediff("order_date", "join_date") < 0)
         .groupBy("customer_id", "product_id")
@@ -114,9 +126,11 @@ def loyalty_points_by_item_weight(
 ) -> DataFrame:
     """Points per customer, the bonus kind counting double."""
     weight = F.when(F.col("kind") == BONUS_KIND, 2).otherwise(1)
-    purchases = _per_order(spark, base, F.sum(F.col("amount") * weight).alias("weighted"))
+    purchases = _per_order(
+        spark, base, F.sum(F.col("amount") * weight).alias("weighted"), of_members=members_only
+    )
     if members_only:
-        purchases = _of_members(spark, base, purchases).where(F.datediff("order_date", "join_date") >= 0)
+        purchases = purchases.where(F.datediff("order_date", "join_date") >= 0)
     return (
         purchases.groupBy("customer_id")
         .agg((F.sum("weighted") * points_per_unit).alias("points"))
@@ -137,16 +151,13 @@ def loyalty_points_with_join_bonus(
     the bonus kind does.
     """
     weight = F.when(F.col("kind") == BONUS_KIND, 2).otherwise(1)
-    purchases = _of_members(
+    purchases = _per_order(
         spark,
         base,
-        _per_order(
-            spark,
-            base,
-            F.sum("amount").alias("amount"),
-            F.sum(F.col("amount") * weight).alias("weighted"),
-        ).where(F.col("order_date") < F.lit(cutoff)),
-    )
+        F.sum("amount").alias("amount"),
+        F.sum(F.col("amount") * weight).alias("weighted"),
+        of_members=True,
+    ).where(F.col("order_date") < F.lit(cutoff))
     days = F.datediff("order_date", "join_date")
     earned = F.when(days < bonus_days, F.col("amount") * 2).otherwise(F.col("weighted"))
     return (

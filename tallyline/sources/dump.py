@@ -35,7 +35,7 @@ def parse_tuple_dump(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame,
     )
     # Exploding a one-item array keeps the regular expressions below the filters on their results;
     # a plain projection would be copied into every such filter and evaluated many times per line.
-    tuples = lines.where(F.ltrim("value").startswith("(")).select(
+    tuples = lines.where(F.col("value").rlike(r"^\s*\(")).select(
         "value", F.explode(F.array(parsed)).alias("parsed")
     )
     literals = [F.get("parsed.literals", F.lit(i)) for i in range(len(names))]

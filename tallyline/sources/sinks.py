@@ -18,14 +18,15 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without: it gets a scratch folder of its own, removed at exit.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="tallyline-")
     atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", own)
+    context.setCheckpointDir(own)
     return own
 
 

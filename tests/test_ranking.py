@@ -1,0 +1,56 @@
+from pyspark.sql import functions as F
+
+from tallyline.operators.joins import broadcast_if_small, flag_if_in, keep_if_in, keep_if_not_in
+from tallyline.operators.ranking import first_from, first_per_group, last_before, top_n
+
+
+def test_ties_are_broken_by_the_whole_order(spark):
+    df = spark.createDataFrame([("a", 1, 9), ("a", 1, 3), ("b", 5, 5), ("b", 4, 8)], "k string, t int, id int")
+    got = first_per_group(df, ["k"], [F.asc("t"), F.asc("id")]).collect()
+    assert sorted(map(tuple, got)) == [("a", 1, 3), ("b", 4, 8)]
+
+
+def test_n_rows_per_group(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    got = first_per_group(df, ["k"], [F.desc("id")], n=3).collect()
+    assert sorted((r.k, r.id) for r in got) == sorted(
+        (k, i) for k in range(7) for i in sorted((i for i in range(1000) if i % 7 == k), reverse=True)[:3]
+    )
+
+
+def test_before_is_strict_and_from_is_not(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 5, 1), ("a", 4, 5, 2), ("a", 4, 5, 3), ("a", 5, 5, 4), ("b", 9, 5, 5)],
+        "k string, t int, anchor int, id int",
+    )
+    t, anchor = F.col("t"), F.col("anchor")
+    last = last_before(df, ["k"], t, anchor, [F.desc("id")]).collect()
+    first = first_from(df, ["k"], t, anchor, [F.asc("id")]).collect()
+    assert [r.id for r in last] == [3]
+    assert sorted(r.id for r in first) == [4, 5]
+
+
+def test_top_n_orders_ties(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 1), ("d", 3)], "name string, n int")
+    assert [r.name for r in top_n(df, "n", ["name"], 3).collect()] == ["d", "a", "b"]
+
+
+def test_membership_with_nulls_and_repeats(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    members = spark.createDataFrame([(1,), (1,), (None,), (9,)], "k int")
+    flagged = flag_if_in(df, "k", members, "hit").collect()
+    assert sorted((r.k or 0, r.hit) for r in flagged) == [(0, 0), (1, 1), (1, 1), (2, 0)]
+    assert [r.k for r in keep_if_in(df, "k", members).collect()] == [1, 1]
+    assert [r.k for r in keep_if_not_in(df, "k", members).collect()] == [2]
+
+
+def test_broadcast_only_below_the_bound(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(100).withColumnRenamed("id", "k")
+        for bound, expected in ((50, True), (49, False)):
+            small = broadcast_if_small(spark.range(50), bound)
+            plan = big.join(small, F.col("k") == F.col("id"))._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) is expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
