@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Wide enough for totals over a very large table while the quotient of two such
-# numbers still keeps 13 fraction digits or more.
-_FRACTION = "decimal(20,4)"
+# Totals up to 20 digits before the point; the quotient of two keeps 14 digits after it, or 12 when the
+# numerator is first multiplied by up to 100.
+_TOTAL = "decimal(24,4)"
+_SCALED_TOTAL = "decimal(26,4)"
 
 
 def money(col: Column) -> Column:
@@ -20,10 +21,10 @@ def ratio(num: Column, den: Column, digits: int, scale: int = 1) -> Column:
 
     The multiplication comes before the division and the rounding last.
     """
-    scaled = num.cast(_FRACTION)
+    total = num.cast(_TOTAL)
     if scale != 1:
-        scaled = scaled * F.lit(scale).cast("decimal(4,0)")
-    quotient = F.try_divide(scaled, den.cast(_FRACTION))
+        total = (total * F.lit(scale).cast("decimal(3,0)")).cast(_SCALED_TOTAL)
+    quotient = F.try_divide(total, den.cast(_TOTAL))
     return F.round(quotient, digits).cast(f"decimal(20,{digits})")
 
 

@@ -57,10 +57,12 @@ def avg_cookies_per_user(spark: SparkSession, base: str) -> DataFrame:
 
 
 def visits_per_month(spark: SparkSession, base: str) -> DataFrame:
+    first_of_month = F.trunc(F.to_date("event_time"), "month")
     return (
         frames.clicks(spark, base)
-        .groupBy(year_month(F.to_date("event_time")).alias("month"))
+        .groupBy(first_of_month.alias("first"))
         .agg(F.countDistinct("visit_id").alias("n_visits"))
+        .select(year_month(F.col("first")).alias("month"), "n_visits")
         .orderBy("month")
     )
 

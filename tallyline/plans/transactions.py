@@ -15,7 +15,7 @@ REVENUE_PERCENTILES = {"revenue_p25": "0.25", "revenue_p50": "0.5", "revenue_p75
 
 
 def _hundredth(amount: Column) -> Column:
-    return (amount * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,4)")
+    return (amount * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(24,4)")
 
 
 def monthly_product_revenue(spark: SparkSession, base: str) -> DataFrame:
@@ -24,16 +24,18 @@ def monthly_product_revenue(spark: SparkSession, base: str) -> DataFrame:
     Price belongs to the product, so quantities are summed first and priced after: the join sees one row
     per month and product.
     """
-    time = F.col("txn_time")
-    month = F.concat(F.year(time).cast("string"), F.lit("-"), F.lpad(F.month(time).cast("string"), 2, "0"))
+    first_of_month = F.trunc(F.to_date("txn_time"), "month")
     sold = (
         frames.basket_lines(spark, base)
-        .groupBy(month.alias("month"), "prod_id")
+        .groupBy(first_of_month.alias("first"), "prod_id")
         .agg(F.sum("qty").alias("qty"), F.sum(F.col("qty") * F.col("discount_pct")).alias("qty_pct"))
     )
+    month = F.concat(
+        F.year("first").cast("string"), F.lit("-"), F.lpad(F.month("first").cast("string"), 2, "0")
+    )
     priced = enrich(sold, frames.prices(spark, base), "prod_id", "price_product")
     return priced.select(
-        "month",
+        month.alias("month"),
         "prod_id",
         "qty",
         (F.col("qty") * F.col("price")).cast("decimal(20,2)").alias("revenue"),
@@ -82,8 +84,8 @@ def baskets(spark: SparkSession, base: str, with_member: bool) -> DataFrame:
     priced = enrich(per_product, frames.prices(spark, base), "prod_id", "price_product")
     per_txn = priced.groupBy("txn_id").agg(
         F.count("*").alias("n_products"),
-        F.sum(_hundredth(F.col("kept_pct") * F.col("price"))).cast("decimal(18,4)").alias("revenue"),
-        F.sum(_hundredth(F.col("cut_pct") * F.col("price"))).cast("decimal(18,4)").alias("discount"),
+        F.sum(_hundredth(F.col("kept_pct") * F.col("price"))).cast("decimal(20,4)").alias("revenue"),
+        F.sum(_hundredth(F.col("cut_pct") * F.col("price"))).cast("decimal(20,4)").alias("discount"),
     )
     if not with_member:
         return per_txn

@@ -43,6 +43,14 @@ def test_heavy_tail_and_tight_cluster(spark):
     check(spark, cluster + tail, "decimal(18,2)")
 
 
+def test_decimals_wider_than_a_long(spark):
+    rng = random.Random(5)
+    values = [Decimal(rng.randrange(-10**20, 10**20)) / 10**4 for _ in range(200)]
+    values += [Decimal("-0.0001"), Decimal("0.0001"), Decimal("7.1234"), Decimal("7.1235")] * 9
+    check(spark, values, "decimal(20,4)")
+    check(spark, [Decimal("7.1234"), Decimal("7.1235"), Decimal("7.0000")] * 40, "decimal(23,5)")
+
+
 def test_extreme_longs(spark):
     check(spark, [-(2**63), -(2**63) + 1, -1, 0, 1, 2**63 - 1, 2**63 - 2], "bigint")
 
@@ -57,9 +65,10 @@ def test_single_value_and_none(spark):
     check(spark, [None, None], "int")
 
 
-def test_doubles_are_refused(spark):
+@pytest.mark.parametrize("type_name", ["double", "decimal(38,2)", "decimal(20,8)"])
+def test_types_without_a_whole_sort_key_are_refused(spark, type_name):
     with pytest.raises(TypeError):
-        exact_percentiles(spark.createDataFrame([(1.5,)], "v double"), "v", PS)
+        exact_percentiles(spark.range(1).select(F.col("id").cast(type_name).alias("v")), "v", PS)
 
 
 def test_equals_the_builtin_on_order_totals(spark):
