@@ -108,16 +108,6 @@ def exact_percentiles(df: DataFrame, value: str, percentiles: Mapping[str, str])
     return hit.agg(*[F.max(F.when(F.col("out") == out, answer)).alias(out) for out in percentiles])
 
 
-def builtin_percentiles(df: DataFrame, value: str, percentiles: Mapping[str, str]) -> DataFrame:
-    """The same result from ``percentile_disc``, for inputs known to have few distinct values."""
-    return df.agg(
-        *[
-            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{value}`)").cast(df.schema[value].dataType).alias(out)
-            for out, p in percentiles.items()
-        ]
-    )
-
-
 def one_row(*frames: DataFrame) -> DataFrame:
     """Put one-row frames with different columns side by side."""
     stacked = frames[0]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions import day_of, money
-from tallyline.operators.cleaning import null_sentinels, retype, strip_units
+from tallyline.operators.cleaning import null_sentinels, overwrite_where, retype, strip_units
 from tallyline.operators.joins import enrich
 from tallyline.sources import literal_table, read_table
 
@@ -153,15 +153,10 @@ def dirty_deliveries(spark: SparkSession, base: str) -> DataFrame:
 
 
 def sentinel_free_deliveries(spark: SparkSession, base: str) -> DataFrame:
-    return null_sentinels(
-        dirty_deliveries(spark, base),
-        {
-            "pickup_time": ["", "null"],
-            "distance": ["", "null"],
-            "duration": ["null"],
-            "cancellation": ["", "null"],
-        },
-    )
+    """Missing-value words as NULL: both of them in three columns, only ``'null'`` in the duration."""
+    words = dict.fromkeys(("pickup_time", "distance", "cancellation"), ("", "null"))
+    cleaned = null_sentinels(dirty_deliveries(spark, base), words)
+    return overwrite_where(cleaned, "duration", F.col("duration") == "null", F.lit(None))
 
 
 def deliveries(spark: SparkSession, base: str) -> DataFrame:

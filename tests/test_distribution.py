@@ -6,7 +6,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.operators.distribution import builtin_percentiles, count_where, exact_percentiles, mean_where, one_row
+from tallyline.operators.distribution import count_where, exact_percentiles, mean_where, one_row
 from tallyline.plans import transactions
 
 PS = {"p0": "0", "p10": "0.1", "p25": "0.25", "p50": "0.5", "p70": "0.7", "p100": "1"}
@@ -76,7 +76,13 @@ def test_equals_the_builtin_on_order_totals(spark):
         F.col("o_totalprice").cast("decimal(18,2)").alias("v")
     )
     quartiles = {"a": "0.25", "b": "0.5", "c": "0.75"}
-    assert exact_percentiles(totals, "v", quartiles).first() == builtin_percentiles(totals, "v", quartiles).first()
+    builtin = totals.agg(
+        *[
+            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY v)").cast("decimal(18,2)").alias(out)
+            for out, p in quartiles.items()
+        ]
+    )
+    assert exact_percentiles(totals, "v", quartiles).first() == builtin.first()
 
 
 def test_conditional_summary(spark):
