@@ -70,9 +70,10 @@ def ordered_item_count(spark: SparkSession, base: str) -> DataFrame:
 
 
 def unique_order_configs(spark: SparkSession, base: str) -> DataFrame:
-    lines = enrich(frames.order_lines(spark, base), frames.items(spark, base), "product_id", "item_product")
+    different = frames.order_lines(spark, base).select("product_id", "removed", "added").distinct()
+    named = enrich(different, frames.items(spark, base), "product_id", "item_product")
     config = concat_nulls_as_empty(F.col("item"), F.col("removed"), F.col("added"), sep="|")
-    return lines.select(config.alias("config")).agg(F.countDistinct("config").alias("n_configs"))
+    return named.select(config.alias("config")).agg(F.countDistinct("config").alias("n_configs"))
 
 
 def successful_per_runner(spark: SparkSession, base: str) -> DataFrame:
@@ -97,17 +98,18 @@ def delivered_per_item_type(spark: SparkSession, base: str) -> DataFrame:
 
 
 def item_mix_per_customer(spark: SparkSession, base: str) -> DataFrame:
-    lines = enrich(
-        frames.order_lines(spark, base).select("order_id", "product_id"),
-        frames.items(spark, base),
-        "product_id",
-        "item_product",
-    )
+    """Lines are counted per customer and product before the product is named."""
+    lines = frames.order_lines(spark, base).select("order_id", "product_id")
     headers = frames.order_headers(spark, base).select("order_key", "customer_id")
-    return (
+    per_product = (
         enrich(lines, headers, "order_id", "order_key")
+        .groupBy("customer_id", "product_id")
+        .agg(F.count("*").alias("n"))
+    )
+    return (
+        enrich(per_product, frames.items(spark, base), "product_id", "item_product")
         .groupBy("customer_id", "item")
-        .agg(F.count("*").alias("n_items"))
+        .agg(F.sum("n").alias("n_items"))
         .orderBy("customer_id", "item")
     )
 

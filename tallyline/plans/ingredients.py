@@ -23,8 +23,8 @@ NEW_ITEM = (-1, "house special")
 NEW_RECIPE_ITEM = "HOUSE SPECIAL"
 
 
-def _lines_with_item(spark: SparkSession, base: str) -> DataFrame:
-    return enrich(frames.order_lines(spark, base), frames.items(spark, base), "product_id", "item_product")
+def _with_item(spark: SparkSession, base: str, lines: DataFrame) -> DataFrame:
+    return enrich(lines, frames.items(spark, base), "product_id", "item_product")
 
 
 def _with_recipe(spark: SparkSession, base: str, lines: DataFrame) -> DataFrame:
@@ -78,15 +78,15 @@ def paired_changes(spark: SparkSession, base: str) -> DataFrame:
 
 def distinct_changes(spark: SparkSession, base: str) -> DataFrame:
     """The different combinations of item, removals and additions that were ordered."""
-    return _lines_with_item(spark, base).select("item", "removed", "added").dropDuplicates(
-        ["item", "removed", "added"]
-    )
+    different = frames.order_lines(spark, base).select("product_id", "removed", "added").distinct()
+    named = _with_item(spark, base, different).select("item", "removed", "added")
+    return named.dropDuplicates(["item", "removed", "added"])
 
 
 def order_item_label(spark: SparkSession, base: str) -> DataFrame:
     """``item - Exclude a, b - Extra c`` for every order line."""
     names = frames.ingredients(spark)
-    lines = _lines_with_item(spark, base)
+    lines = _with_item(spark, base, frames.order_lines(spark, base))
     lines = name_list(lines, "removed", names, "ingredient_id", "ingredient", "without")
     lines = name_list(lines, "added", names, "ingredient_id", "ingredient", "extra")
 
@@ -103,7 +103,7 @@ def order_item_label(spark: SparkSession, base: str) -> DataFrame:
 def order_ingredient_list(spark: SparkSession, base: str) -> DataFrame:
     """Per order and item, ``item: 2xa, b``: the net ingredients of its lines in order of name."""
     lists = net_list(
-        _lines_with_item(spark, base),
+        _with_item(spark, base, frames.order_lines(spark, base)),
         ["order_id", "item"],
         "removed",
         "added",
@@ -122,14 +122,15 @@ def order_ingredient_list(spark: SparkSession, base: str) -> DataFrame:
 def ingredient_usage_total(spark: SparkSession, base: str) -> DataFrame:
     """Net use of each ingredient over delivered orders, most used first.
 
-    Equal lines are counted before anything is exploded.
+    Equal lines are counted before they are named or exploded.
     """
-    lines = enrich(_lines_with_item(spark, base), frames.deliveries(spark, base), "order_id", "delivery_order")
+    lines = enrich(frames.order_lines(spark, base), frames.deliveries(spark, base), "order_id", "delivery_order")
     alike = (
         lines.where(F.col("cancellation").isNull())
-        .groupBy("item", "removed", "added")
+        .groupBy("product_id", "removed", "added")
         .agg(F.count("*").alias("n"))
     )
+    alike = _with_item(spark, base, alike).groupBy("item", "removed", "added").agg(F.sum("n").alias("n"))
     tally = signed_tally(
         _with_recipe(spark, base, alike), [], "element", "recipe", "removed", "added", weight="n"
     )
@@ -139,7 +140,8 @@ def ingredient_usage_total(spark: SparkSession, base: str) -> DataFrame:
 
 def revenue_with_extras(spark: SparkSession, base: str) -> DataFrame:
     """Ordered revenue at fixed item prices plus a surcharge per added ingredient, special ones dearer."""
-    alike = _lines_with_item(spark, base).groupBy("item", "added").agg(F.count("*").alias("n"))
+    per_product = frames.order_lines(spark, base).groupBy("product_id", "added").agg(F.count("*").alias("n"))
+    alike = _with_item(spark, base, per_product).groupBy("item", "added").agg(F.sum("n").alias("n"))
     extras = named_elements(
         explode_list(alike, "added", "element"), "element", frames.ingredients(spark), "ingredient_id"
     )

@@ -109,15 +109,17 @@ def last_item_before_joining(spark: SparkSession, base: str) -> DataFrame:
 
 
 def premember_items_and_spend(spark: SparkSession, base: str) -> DataFrame:
-    lines = frames.purchase_lines(spark, base, priced=True).select("order_id", "product_id", "amount")
-    purchases = _on_headers(spark, base, lines, of_members=True)
+    """Only lines of orders before joining are kept, and they are summed per product before pricing."""
+    lines = frames.purchase_lines(spark, base).select("order_id", "product_id", "qty")
     per_item = (
-        purchases.where(F.datediff("order_date", "join_date") < 0)
+        _on_headers(spark, base, lines, of_members=True)
+        .where(F.datediff("order_date", "join_date") < 0)
         .groupBy("customer_id", "product_id")
-        .agg(F.sum("amount").alias("amount"))
+        .agg(F.sum("qty").alias("qty"))
     )
-    return per_item.groupBy("customer_id").agg(
-        F.count("product_id").alias("n_items"), F.sum("amount").alias("amount_spent")
+    priced = enrich(per_item, frames.prices(spark, base), "product_id", "price_product")
+    return priced.groupBy("customer_id").agg(
+        F.count("product_id").alias("n_items"), F.sum(F.col("qty") * F.col("price")).alias("amount_spent")
     )
 
 
