@@ -17,6 +17,7 @@ from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -168,7 +169,9 @@ class Vocabulary(dict):
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-load = lru_cache(maxsize=2)(Vocabulary)
+@lru_cache(maxsize=2)
+def load(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
 def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -201,7 +204,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
     """
 
     @F.pandas_udf("string")
-    def decoded(column: "pd.Series") -> "pd.Series":  # noqa: F821
+    def decoded(column: pd.Series) -> pd.Series:
         vocab = load(vocabulary)
         return column.map(lambda x: "" if x is None else vocab.decode(np.asarray(x)))
 
@@ -211,7 +214,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
 def ids_digest(ids: str = "ids"):
     """SHA-256 (lower-case hex) of ids written as little-endian unsigned 32-bit integers."""
     @F.pandas_udf("string")
-    def digest(column: "pd.Series") -> "pd.Series":  # noqa: F821
+    def digest(column: pd.Series) -> pd.Series:
         return column.map(lambda x: hashlib.sha256(np.asarray(() if x is None else x, "<u4").tobytes()).hexdigest())
 
     return digest(ids)

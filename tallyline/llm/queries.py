@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe
+from tallyline.llm import bpe, token_counts
+from tallyline.sources.sinks import shared_dir
+
+
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    encoded = bpe.encode(docs, vocabulary).drop("text")
+    encoded = bpe.encode(documents(spark, sf_dir, "doc_id", "text"), vocabulary).drop("text")
     return bpe.decode(encoded, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -21,6 +25,15 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache lies in the shared folder, so a second run over the same texts encodes nothing."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    docs = docs.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
+    counted = token_counts.count_tokens(docs, vocabulary, f"{shared_dir(spark)}/tallyline/token_counts")
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op7_token_counts": op7_token_counts}
 
 ORACLES: dict[str, str] = {}
