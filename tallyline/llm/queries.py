@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, token_counts
+from tallyline.llm import bpe, secrets, token_counts
 from tallyline.sources.sinks import shared_dir
 
 
@@ -34,6 +34,23 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op7_token_counts": op7_token_counts}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir, "doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "entropy")
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(F.col("secrets")).alias("spans"),
+    )
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op7_token_counts": op7_token_counts, "op10_secrets": op10_secrets}
 
 ORACLES: dict[str, str] = {}
