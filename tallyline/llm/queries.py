@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, secrets, token_counts
+from tallyline.llm import bpe, fingerprint, secrets, token_counts
 from tallyline.sources.sinks import shared_dir
 
 
@@ -25,6 +25,32 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    sketched = fingerprint.with_sketch(docs)
+    paired = fingerprint.with_next(sketched, "doc_id", {"text": "next_text", "sketch": "next_sketch"})
+    changed = paired.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        "sketch",
+        "next_sketch",
+        fingerprint.edited(F.col("text"), F.col("next_text")).alias("edited"),
+    )
+    both = fingerprint.with_sketch(changed, "edited", "edited_sketch")
+    own, other, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.written(own).alias("fingerprint"),
+        fingerprint.written(other).alias("edited_fingerprint"),
+        fingerprint.containment(own, other).alias("near_edited"),
+        fingerprint.containment(own, following).alias("near_next"),
+        fingerprint.resemblance(own, other).alias("jaccard_edited"),
+        fingerprint.resemblance(own, following).alias("jaccard_next"),
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cache lies in the shared folder, so a second run over the same texts encodes nothing."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -51,6 +77,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op7_token_counts": op7_token_counts, "op10_secrets": op10_secrets}
+QUERIES = {"op1_bpe": op1_bpe, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op10_secrets": op10_secrets}
 
 ORACLES: dict[str, str] = {}
