@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, fingerprint, secrets, token_counts
+from tallyline.llm import bpe, fingerprint, mixing, secrets, token_counts
 from tallyline.sources.sinks import shared_dir
 
 
@@ -60,6 +60,25 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def with_quality(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with sampling weights ``weight``: 2 and a half for labels of good and bad quality, else 1."""
+    labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet").select(
+        F.col("doc_id").alias("__doc_id"), "quality"
+    )
+    labels = labels.groupBy("__doc_id").agg(F.max("quality").alias("__quality"))
+    weight = F.when(F.col("__quality") == 1, 2.0).when(F.col("__quality") == 0, 0.5).otherwise(1.0)
+    joined = docs.join(labels, F.col("doc_id") == F.col("__doc_id"), "left")
+    return joined.select(*docs.columns, weight.alias("weight"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "source")
+    mixed = mixing.mix(with_quality(docs, sf_dir), quality="weight")
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
+    )
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir, "doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] != "entropy")
@@ -77,6 +96,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op10_secrets": op10_secrets}
+QUERIES = {"op1_bpe": op1_bpe, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
