@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, fingerprint, mixing, secrets, token_counts
+from tallyline.llm import bpe, fingerprint, html_text, mixing, secrets, token_counts
 from tallyline.sources.sinks import shared_dir
 
 
@@ -60,6 +60,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    text = html_text.extract_text(pages).drop("html")
+    return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def with_quality(docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` with sampling weights ``weight``: 2 and a half for labels of good and bad quality, else 1."""
     labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet").select(
@@ -96,6 +102,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+QUERIES = {"op1_bpe": op1_bpe, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
