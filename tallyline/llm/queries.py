@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, mixing, secrets, token_counts
-from tallyline.sources.sinks import shared_dir
+from tallyline.sources.sinks import scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -56,11 +56,11 @@ def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cache lies in the shared folder, so a second run over the same texts encodes nothing."""
+    """Starts from an empty cache of its own, so that each run counts every distinct text."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     docs = documents(spark, sf_dir, "doc_id", "text")
     docs = docs.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
-    counted = token_counts.count_tokens(docs, vocabulary, f"{shared_dir(spark)}/tallyline/token_counts")
+    counted = token_counts.count_tokens(docs, vocabulary, scratch_path(spark, "token_counts"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
