@@ -138,49 +138,36 @@ def plan_sources(docs: DataFrame) -> DataFrame:
 
 
 def mix(
-    df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", quality: str | None = None
+    df: DataFrame, key: str = "doc_id", size: str = "size", source: str = "source", quality: str | None = None
 ) -> DataFrame:
-    """``df`` with ``size``, ``source_size``, ``target`` and ``times``, how often the mix takes the document.
+    """``df`` with ``source_size``, ``target`` and ``times``, how often the mix takes the document.
 
-    ``quality`` names a column of positive weights (null or absent: 1). Null sources form a source of their
-    own. Rows with the same ``key`` are taken alike, and where the key is null the text stands for it; reruns
-    agree. An empty table gives an empty mix, documents without words are taken like others and add nothing.
-    Existing columns with these four names are replaced.
+    ``size`` names the column of words per document (null: 0) and ``quality`` one of positive weights (null or
+    absent: 1). Null sources form a source of their own. Rows with the same ``key`` are taken alike, as are
+    rows without a key that have the same size; reruns agree. An empty table gives an empty mix; documents
+    without words are taken like others and add nothing. Existing columns with the three names are replaced.
+
+    Only keys, sizes and sources are written and ordered; what else ``df`` holds is read once, at the end.
     """
-    added = ("size", "source_size", "target", "times")
+    added = ("source_size", "target", "times")
+    words = F.coalesce(F.col(size), F.lit(0)).cast("bigint")
     weight = F.coalesce(F.col(quality), F.lit(1.0)) if quality else F.lit(1.0)
-    identity = F.coalesce(F.col(key).cast("string"), F.md5(F.coalesce(F.col(text), F.lit(""))))
-
-    def keyed(columns: list) -> DataFrame:
-        return df.select(
-            *columns,
-            F.col(source).alias("__source"),
-            size_of(F.col(text)).alias("__size"),
-            (-F.ln(uniform(identity)) / weight).alias("__key"),
-        )
-
-    # Sizes and keys are written once, without the texts; the plan per source is small and joined to the rows.
-    light = materialise(
-        keyed([]).select(
-            F.col("__source").alias("source"), F.col("__size").alias("size"), F.col("__key").alias("key")
-        ),
-        "sizes",
-    )
-    plan = materialise(plan_sources(light), "plan").select(*[F.col(c).alias(f"__p_{c}") for c in (
-        "source", "source_size", "target", "epochs", "upto", "fill")])
+    identity = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("size "), words))
+    order = -F.ln(uniform(identity)) / weight
+    light = materialise(df.select(F.col(source).alias("source"), words.alias("size"), order.alias("key")), "sizes")
+    plan = materialise(plan_sources(light), "plan")
+    plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
     kept = [c for c in df.columns if c.lower() not in added]
-    once_more = (
-        F.col("__p_upto").isNull() | (F.col("__key") < F.col("__p_upto")) | F.col("__key").eqNullSafe(F.col("__p_fill"))
-    ) & (F.col("__p_epochs") < MOST_EPOCHS)
+    last = F.col("__upto").isNull() | (F.col("__order") < F.col("__upto"))
+    once_more = (last | F.col("__order").eqNullSafe(F.col("__fill"))) & (F.col("__epochs") < MOST_EPOCHS)
     return (
-        keyed(kept)
-        .join(plan, F.col("__source").eqNullSafe(F.col("__p_source")))
+        df.select(*kept, order.alias("__order"))
+        .join(plan, F.col(source).eqNullSafe(F.col("__source")))
         .select(
             *kept,
-            F.col("__size").alias("size"),
-            F.col("__p_source_size").alias("source_size"),
-            F.col("__p_target").alias("target"),
-            (F.col("__p_epochs") + once_more.cast("bigint")).alias("times"),
+            F.col("__source_size").alias("source_size"),
+            F.col("__target").alias("target"),
+            (F.col("__epochs") + once_more.cast("bigint")).alias("times"),
         )
     )
 

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, mixing, secrets, token_counts
-from tallyline.sources.sinks import scratch_path
+from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, mixing, secrets, token_counts, toxicity
+from tallyline.sources.sinks import materialise, scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -29,6 +29,18 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score(docs, model).drop("text")
+    return scored.select(
+        "doc_id",
+        (toxicity.fold("doc_id") == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sketched = fingerprint.with_sketch(docs)
@@ -82,8 +94,9 @@ def with_quality(docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir, "doc_id", "text", "source")
-    mixed = mixing.mix(with_quality(docs, sf_dir), quality="weight")
+    docs = documents(spark, sf_dir, "doc_id", "source", mixing.size_of(F.col("text")).alias("size"))
+    weighed = materialise(with_quality(docs, sf_dir), "weighed")
+    mixed = mixing.mix(weighed, quality="weight")
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
     )
@@ -106,6 +119,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_embedding_dedup": op2_embedding_dedup, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+QUERIES = {"op1_bpe": op1_bpe, "op2_embedding_dedup": op2_embedding_dedup, "op3_toxicity": op3_toxicity, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
