@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, mixing, secrets, token_counts, toxicity
+from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, minhash_dedup, mixing, secrets, token_counts, toxicity
 from tallyline.sources.sinks import materialise, scratch_path
 
 
@@ -41,6 +41,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sketched = fingerprint.with_sketch(docs)
@@ -119,6 +123,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_embedding_dedup": op2_embedding_dedup, "op3_toxicity": op3_toxicity, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+QUERIES = {"op1_bpe": op1_bpe, "op2_embedding_dedup": op2_embedding_dedup, "op3_toxicity": op3_toxicity, "op4_minhash_dedup": op4_minhash_dedup, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
