@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, minhash_dedup, mixing, secrets, token_counts, toxicity
+from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, line_dedup, minhash_dedup, mixing, secrets, token_counts, toxicity
 from tallyline.sources.sinks import materialise, scratch_path
 
 
@@ -45,6 +45,14 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the numbers of its lines and of those that went, and the digest of what is left."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    docs = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long"))
+    left = line_dedup.dedup_lines(docs)
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     sketched = fingerprint.with_sketch(docs)
@@ -123,6 +131,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_embedding_dedup": op2_embedding_dedup, "op3_toxicity": op3_toxicity, "op4_minhash_dedup": op4_minhash_dedup, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+QUERIES = {"op1_bpe": op1_bpe, "op2_embedding_dedup": op2_embedding_dedup, "op3_toxicity": op3_toxicity, "op4_minhash_dedup": op4_minhash_dedup, "op5_line_dedup": op5_line_dedup, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
