@@ -7,6 +7,8 @@ in a long one is estimated as well as the share of equals.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +18,9 @@ FRACTION = 4
 # Hashes have 48 bits, written as 12 hexadecimal digits.
 BITS = 48
 
-# Rows with neighbouring ids that one task orders; the number of cuts is bounded as well.
-IDS_PER_RANGE = 20_000
-MOST_RANGES = 10_000
+# Rows with neighbouring ids that are put in order together; the number of cuts is bounded as well.
+IDS_PER_RANGE = 4_000
+MOST_RANGES = 50_000
 
 
 def _word_hashes(text: Column) -> Column:
@@ -90,13 +92,19 @@ def _cuts_below(cuts: list[int], value: Column) -> Column:
     return F.when(value.isNull(), 0).otherwise(found)
 
 
-def with_next(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+def with_next(
+    df: DataFrame,
+    key: str,
+    columns: dict[str, str],
+    derive: Callable[[DataFrame], DataFrame] = lambda placed: placed,
+) -> DataFrame:
     """``df`` with values of the row that follows by ``key``, the first row following the last.
 
     ``columns`` maps columns to the names their next values get; existing columns of these names are replaced.
     Null keys come first and equal keys are ordered by the carried values. The ids are cut into ranges of
     about ``IDS_PER_RANGE`` rows at approximate quantiles; the rows of the first id of each range are copied
-    into the range before it, so each range knows all its followers and rows are moved once.
+    into the range before it, so each range knows all its followers and rows are moved once. ``derive`` adds
+    columns after the rows have been moved, so that these need not be moved as well.
     """
     kept = [c for c in df.columns if c.lower() not in {n.lower() for n in columns.values()}]
     ids = df.select(F.col(key).cast("bigint").alias("id"))
@@ -118,15 +126,19 @@ def with_next(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
     copied = F.struct(F.col("__before").alias("range"), F.lit(1).alias("guest"))
     placed = df.join(F.broadcast(guests), F.col(key).eqNullSafe(F.col("__first")), "left").select(
         *kept,
-        F.explode(F.array_compact(F.array(own, F.when(F.col("__before").isNotNull(), copied)))).alias("__at"),
+        F.inline(F.array_compact(F.array(own, F.when(F.col("__before").isNotNull(), copied)))).alias(
+            "__range", "__guest"
+        ),
     )
-    order = Window.partitionBy("__at.range").orderBy(
-        F.col("__at.guest"), F.col(key).asc_nulls_first(), *[F.col(c) for c in columns]
+    placed = derive(placed.repartition("__range"))
+    order = Window.partitionBy("__range").orderBy(
+        "__guest", F.col(key).asc_nulls_first(), *[F.col(c) for c in columns]
     )
     following = F.lead(F.struct(*[F.col(c) for c in columns])).over(order)
+    kept = [c for c in placed.columns if c not in ("__range", "__guest")]
     return (
-        placed.select(*kept, "__at", following.alias("__next"))
-        .where(F.col("__at.guest") == 0)
+        placed.select("*", following.alias("__next"))
+        .where("__guest = 0")
         .select(*kept, *[F.col(f"__next.{c}").alias(name) for c, name in columns.items()])
     )
 

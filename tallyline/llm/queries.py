@@ -55,8 +55,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sketched = fingerprint.with_sketch(docs)
-    paired = fingerprint.with_next(sketched, "doc_id", {"text": "next_text", "sketch": "next_sketch"})
+    following = {"text": "next_text", "sketch": "next_sketch"}
+    paired = fingerprint.with_next(docs, "doc_id", following, derive=fingerprint.with_sketch)
     changed = paired.select(
         "doc_id",
         F.char_length("text").cast("long").alias("n_chars"),
