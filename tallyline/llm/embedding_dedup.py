@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import connected_components
+from tallyline.llm.linking import forest
 from tallyline.sources.sinks import materialise
 
 THRESHOLD = 0.98
@@ -143,22 +144,6 @@ def _placed(index: dict[int, Index]):
     return run
 
 
-def _forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
-    """Smallest node of each node's component, for nodes 0..n-1 and links left-right."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[left], root[right])
-        new = root.copy()
-        np.minimum.at(new, root[left], low)
-        np.minimum.at(new, root[right], low)
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        new = new[root]
-        if np.array_equal(new, root):
-            return root
-        root = new
-
-
 def _compare(threshold: float):
     """One task's rows to (class, links found, a class it is connected with)."""
 
@@ -175,7 +160,7 @@ def _compare(threshold: float):
         links = hit @ copies[base]
         q, b = np.nonzero(hit)
         names, place = np.unique(classes, return_inverse=True)
-        root = names[_forest(place[query[q]], place[base[b]], len(names))]
+        root = names[forest(place[query[q]], place[base[b]], len(names))]
         connected = np.flatnonzero(root != names)
         some = links > 0
         return pa.table(

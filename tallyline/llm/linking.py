@@ -1,95 +1,114 @@
-"""Groups of linked items that share buckets, without listing the pairs of a bucket.
+"""Groups of linked items that share buckets, without listing the pairs of a bucket as rows.
 
 Candidates are items that share a bucket. What is asked for is which items are connected by verified links,
-so two items that are connected already need no comparison. Each round picks one leader per bucket, compares
-it with the members not yet connected to it, and retires it; a bucket is done when its remaining members are
-connected. A few rounds settle groups of copies with about one comparison per member; what is left of a bucket
-then, the members outside its largest connected part, is compared with all its members.
+so two items that are connected already need no comparison.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import connected_components
 from tallyline.sources.sinks import materialise
 
-# Rounds with leaders before the rest is compared.
-ROUNDS = 2
+# Items of a bucket that one task compares; a bucket with more is cut into blocks, and tasks take two of them.
+BLOCK = 1024
 
-Verify = Callable[[DataFrame], DataFrame]
+# Links among the items of one unit: columns by name and the class of each item, to positions (i, j).
+Compare = Callable[[dict[str, np.ndarray], np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
-    """The rows of ``members`` (``bucket``, ``id``, any more) whose bucket has at least two different items."""
-    several = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
-    several = several.where("low < high").select("bucket", "n")
+    """The rows of ``members`` (``bucket``, ``id`` once per bucket, any more) whose bucket has at least two rows,
+    and their number ``n``. What the buckets are counted by is two numbers wide, whatever else the rows hold."""
+    several = materialise(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     return members.join(several, "bucket")
 
 
-def _ordered(pairs: DataFrame, carried: list[str]) -> DataFrame:
-    """Each pair once, smaller id first, with the carried columns of both sides."""
-    swap = F.col("left.id") > F.col("right.id")
-    columns = [
-        F.when(swap, F.col(f"right.{c}")).otherwise(F.col(f"left.{c}")).alias(a)
-        for c, a in [("id", "a"), *((c, f"a_{c}") for c in carried)]
-    ] + [
-        F.when(swap, F.col(f"left.{c}")).otherwise(F.col(f"right.{c}")).alias(b)
-        for c, b in [("id", "b"), *((c, f"b_{c}") for c in carried)]
-    ]
-    return pairs.select(*columns).dropDuplicates(["a", "b"])
+def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """Smallest node of each node's component, for nodes 0..n-1 and links left-right."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[left], root[right])
+        new = root.copy()
+        np.minimum.at(new, root[left], low)
+        np.minimum.at(new, root[right], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        new = new[root]
+        if np.array_equal(new, root):
+            return root
+        root = new
 
 
-def linked_groups(members: DataFrame, verify: Verify, carried: list[str] | None = None, within=None) -> DataFrame:
-    """``node`` and ``component`` (smallest id) of every item that a verified link connects with another.
+def _units(compare: Compare):
+    """One group's rows, sorted into units, to links: each item with the smallest one it is connected with."""
 
-    ``members`` has ``bucket``, ``id`` (both bigint) and the columns ``carried``; ``verify`` takes pairs (``a``,
-    ``b`` and the carried columns as ``a_*`` and ``b_*``) and returns the linked ones; ``within`` is a condition
-    on ``left.*`` and ``right.*`` that all links fulfil. Every pair of a bucket is compared or already connected.
+    def run(table: pa.Table) -> pa.Table:
+        unit = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
+        order = np.lexsort(unit)
+        unit = unit[:, order]
+        edges = np.flatnonzero(np.any(unit[:, 1:] != unit[:, :-1], axis=0)) + 1
+        columns = {c: table.column(c).to_numpy(zero_copy_only=False)[order] for c in table.column_names}
+        left, right = [], []
+        for start, end in zip(np.append(0, edges), np.append(edges, len(order))):
+            classes = columns["class"][start:end]
+            if end - start > 1 and (classes != classes[0]).any():
+                a, b = compare({c: v[start:end] for c, v in columns.items()}, classes)
+                left.append(a + start)
+                right.append(b + start)
+        none = np.zeros(0, np.int64)
+        ids = np.unique(columns["id"])
+        place = np.searchsorted(ids, columns["id"])
+        root = forest(place[np.concatenate([none, *left])], place[np.concatenate([none, *right])], len(ids))
+        moved = root != np.arange(len(ids))
+        return pa.table({"a": ids[moved], "b": ids[root[moved]]})
+
+    return run
+
+
+def links_in_buckets(members: DataFrame, compare: Compare, rows_per_task: int) -> DataFrame:
+    """Links (``a``, ``b``) that connect what ``compare`` links within the buckets of ``members``.
+
+    ``members`` has ``bucket``, ``id``, ``class`` (items of one class are connected already), ``n`` (rows of the
+    bucket) and what ``compare`` reads. Per task at most one link for each item is returned.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK)
+    cut = members.withColumn("m", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "m"))
+    others = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1),
+        lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")),
+    )
+    spread = cut.select("*", F.inline(others)).drop("m", "own", "n")
+    tasks = members.count() // rows_per_task + 1
+    spread = spread.withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
+    return spread.groupBy("task").applyInArrow(_units(compare), "a bigint, b bigint")
+
+
+def by_leaders(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Verified links of each bucket's leader, and what they leave open.
+
+    ``members`` is ``shared_buckets`` of rows (``bucket``, ``id``). Each bucket's leader is compared with its
+    other items, about one comparison per item, which connects most of a group of copies. Items in many large
+    buckets are in the middle of their group and lead. Returned are the links and the ``members`` (with
+    ``class``) of buckets whose items, less the leader, are not all connected.
     """
-    carried = carried or []
-    columns = ["bucket", "id", *carried]
-    fits = F.lit(True) if within is None else within
-    alive = materialise(shared_buckets(members.select(*columns).dropDuplicates(["bucket", "id"])), "members")
-    # Items in many large buckets are in the middle of their group and so make good leaders.
-    central = alive.groupBy("id").agg(F.sum("n").alias("central"))
-    alive = materialise(
-        alive.join(central, "id").select(*columns, F.col("id").alias("class"), "central"), "members"
+    central = members.groupBy("id").agg(F.sum("n").alias("central"))
+    ranked = materialise(members.join(central, "id").select("bucket", "id", "n", "central"), "ranked")
+    rank = F.struct(-F.col("central"), F.xxhash64("id"), F.col("id").alias("leader"))
+    leaders = ranked.groupBy("bucket").agg(F.min(rank)["leader"].alias("leader"))
+    led = materialise(ranked.join(leaders, "bucket").where("id != leader").select("bucket", "id", "n", "leader"), "led")
+    pairs = led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    links = materialise(verify(pairs).select("a", "b"), "links")
+    groups = materialise(connected_components(links), "groups")
+    classed = led.join(groups, F.col("id") == F.col("node"), "left").select(
+        "bucket", "id", "n", F.coalesce("component", "id").alias("class")
     )
-    links, groups = None, None
-    for round_ in range(ROUNDS + 1):
-        if alive.isEmpty():
-            break
-        if round_ < ROUNDS:
-            rank = F.struct(-F.col("central"), F.xxhash64("id"), "id", "class", *carried)
-            leaders = alive.groupBy("bucket").agg(F.min(rank).alias("leader"))
-            chosen = leaders.select(
-                "bucket", *[F.col(f"leader.{c}").alias(c) for c in ("id", "class", *carried)]
-            )
-        else:
-            sizes = alive.groupBy("bucket", "class").agg(F.count("*").alias("n"))
-            largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class"))["class"].alias("main"))
-            chosen = alive.join(largest, "bucket").where("class != main").select("bucket", "id", "class", *carried)
-        met = alive.alias("left").join(
-            chosen.alias("right"),
-            (F.col("left.bucket") == F.col("right.bucket")) & (F.col("left.class") != F.col("right.class")) & fits,
-        )
-        found = materialise(verify(_ordered(met, carried)).select("a", "b"), "found")
-        links = found if links is None else links.union(found)
-        if not found.isEmpty():
-            groups = materialise(connected_components(links), "groups")
-        if round_ == ROUNDS:
-            break
-        if groups is not None:
-            known = alive.drop("class").join(groups, F.col("id") == F.col("node"), "left")
-            alive = known.select(*columns, F.coalesce("component", "id").alias("class"), "central")
-        retired = leaders.select("bucket", F.col("leader.id").alias("id"))
-        alive = alive.join(retired, ["bucket", "id"], "left_anti")
-        open_ = alive.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        alive = materialise(alive.join(open_.where("low < high").select("bucket"), "bucket", "left_semi"), "members")
-    if groups is None:
-        return members.sparkSession.createDataFrame([], "node bigint, component bigint")
-    return groups
+    left = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    open_ = classed.join(left.where("low < high").select("bucket"), "bucket", "left_semi")
+    return links, materialise(open_, "open")

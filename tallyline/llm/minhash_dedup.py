@@ -1,9 +1,12 @@
 """Near-duplicate documents by ProbMinHash over weighted word shingles.
 
-Each distinct shingle of a text is a Poisson process whose rate is the number of its occurrences. Its arrivals
+Each distinct shingle of a text is a Poisson process whose rate is its weight. Its arrivals
 fall on random registers and each register keeps the shingle that arrived first; a process ends when its next
 arrival comes after every register's first. Two texts agree in a register with their probability Jaccard
 similarity. Bands of registers give candidates, which are verified by the exact similarity.
+
+A shingle's weight is one plus the logarithm of its occurrences, so a phrase repeated all through a text does not
+outweigh the rest of it.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.linking import linked_groups, shared_buckets
+from tallyline.llm.components import connected_components
+from tallyline.llm.linking import by_leaders, links_in_buckets, shared_buckets
 from tallyline.llm.textmap import slices
 from tallyline.sources.sinks import materialise
 
@@ -27,6 +31,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
 WORD = re.compile(r"\w+")
 CACHED_WORDS = 300_000
+ROWS_PER_TASK = 4096
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,12 +82,13 @@ def signatures(text: np.ndarray, value: np.ndarray, weight: np.ndarray, n_texts:
     m = BANDS * ROWS
     first = np.full((n_texts, m), np.inf)
     winner = np.zeros((n_texts, m), np.uint64)
+    weight = 1 + np.log(weight)
     time = np.zeros(len(text))
     state = value.copy()
-    number = np.uint64(0)
+    number = np.zeros(1, np.uint64)
     while len(text):
-        number += np.uint64(1)
-        drawn = _mix(state + number * _ODD)
+        number += _ODD
+        drawn = _mix(state + number)
         uniform = ((drawn >> np.uint64(12)) + np.float64(0.5)) / np.float64(1 << 52)
         time = time - np.log(uniform) / weight
         slot = text * m + (_mix(drawn ^ _ODD) % np.uint64(m)).astype(np.int64)
@@ -135,8 +141,8 @@ def probability_jaccard(value_a, count_a, value_b, count_b) -> float:
     """
     values, place = np.unique(np.concatenate([value_a, value_b]), return_inverse=True)
     a, b = np.zeros(len(values)), np.zeros(len(values))
-    a[place[: len(value_a)]] = count_a
-    b[place[len(value_a) :]] = count_b
+    a[place[: len(value_a)]] = 1 + np.log(count_a)
+    b[place[len(value_a) :]] = 1 + np.log(count_b)
     with np.errstate(divide="ignore"):
         ratio = b / a
     common = (a > 0) & (b > 0)
@@ -157,6 +163,43 @@ def _similar(threshold: float):
     return run
 
 
+def _compared(threshold: float):
+    """Links among the items of a bucket that are not connected yet.
+
+    Items outside the largest class are compared with all of other classes. An upper bound of the similarity,
+    the sum over common shingles of the smaller share of weight, is computed for all at once; pairs that reach
+    the threshold by it are computed exactly. A pair whose earlier bands share a bucket is left to that one.
+    """
+
+    def run(columns: dict[str, np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        names, counts = np.unique(classes, return_counts=True)
+        values, weights = columns["value"], [1 + np.log(c) for c in columns["count"]]
+        sizes = np.array([len(v) for v in values])
+        starts = np.cumsum(sizes) - sizes
+        known, flat = np.unique(np.concatenate(values), return_inverse=True)
+        shares = np.concatenate([w / w.sum() for w in weights])
+        bands = np.stack(columns["bands"])
+        before = int(np.flatnonzero((bands == columns["bucket"][0]).all(axis=0))[0])
+        left, right = [], []
+        mine = np.zeros(len(known))
+        done = np.zeros(len(classes), bool)
+        for i in np.flatnonzero(classes != names[counts.argmax()]):
+            own = flat[starts[i] : starts[i] + sizes[i]]
+            mine[own] = shares[starts[i] : starts[i] + sizes[i]]
+            bound = np.add.reduceat(np.minimum(mine[flat], shares), starts)
+            mine[own] = 0
+            done[i] = True
+            open_ = (bound >= threshold - 1e-9) & (classes != classes[i]) & ~done
+            open_ &= ~(bands[:, :before] == bands[i, :before]).any(axis=1)
+            for j in np.flatnonzero(open_):
+                if probability_jaccard(values[i], columns["count"][i], values[j], columns["count"][j]) >= threshold:
+                    left.append(i)
+                    right.append(j)
+        return np.array(left, np.int64), np.array(right, np.int64)
+
+    return run
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``key``, ``class_id`` (the smallest key of the group) and ``kept`` for every row of ``df``.
 
@@ -172,7 +215,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
     classes = materialise(sketched.groupBy(*same).agg(F.min("id").alias("first")), "classes")
     firsts = sketched.join(classes, same).where("id = first").select("id", "bands")
     members = firsts.select("id", F.explode("bands").alias("bucket"))
-    members = materialise(shared_buckets(members).select("bucket", "id"), "shared")
+    members = materialise(shared_buckets(members), "shared")
     wanted = materialise(members.select("id").distinct(), "wanted")
     texts = rows.join(wanted, "id").dropDuplicates(["id"])
     known = materialise(texts.mapInArrow(_shingled, "id bigint, value array<bigint>, count array<int>"), "shingles")
@@ -185,7 +228,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", thre
 
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similar(threshold), "a bigint, b bigint")
 
-    groups = linked_groups(members, verify)
+    links, left = by_leaders(members, verify)
+    rest = left.join(known, "id").join(firsts, "id")
+    more = materialise(links_in_buckets(rest, _compared(threshold), ROWS_PER_TASK), "more")
+    groups = connected_components(links.union(more))
     named = sketched.join(classes, ["whole1", "whole2"]).join(groups, F.col("first") == F.col("node"), "left")
     named = named.groupBy(F.col("id").alias("__id")).agg(F.min(F.coalesce("component", "first")).alias("__class"))
     found = df.select(F.col(key)).join(named, F.col(key) == F.col("__id"), "left")
