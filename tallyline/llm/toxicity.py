@@ -203,8 +203,9 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     known = labels.where(F.col(label).isNotNull() & (fold(key) != 0)).groupBy(F.col(key).alias("key"))
     known = known.agg((F.max(label) == 1).cast("int").alias("toxic"))
     rows = df.where(fold(key) != 0).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    labelled = rows.join(known, "key").select("text", "toxic", fold("key").alias("fold"), F.xxhash64("key").alias("h"))
-    # The texts are matched with their labels once; both fits read the written table.
+    labelled = rows.join(known.hint("merge"), "key").select("text", "toxic", fold("key").alias("fold"), F.xxhash64("key").alias("h"))
+    # Labels have no bound on their size, so they are joined by a shuffle at any size. Both fits read what is
+    # written of it.
     labelled = materialise(labelled, "labelled")
     counted = labelled.where(F.col("fold") != CURVE_FOLD).select("text", "toxic")
     grams = counted.mapInArrow(_count, "gram string, n0 bigint, n1 bigint").groupBy("gram")
