@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +12,9 @@ from pyspark.sql import functions as F
 from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, line_dedup, minhash_dedup, mixing, secrets, token_counts, toxicity
 from tallyline.sources.sinks import materialise, scratch_path
 
+Query = Callable[[SparkSession, str], DataFrame]
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
@@ -101,7 +107,7 @@ def with_quality(docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     labels = labels.groupBy("__doc_id").agg(F.max("quality").alias("__quality"))
     weight = F.when(F.col("__quality") == 1, 2.0).when(F.col("__quality") == 0, 0.5).otherwise(1.0)
-    joined = docs.join(labels, F.col("doc_id") == F.col("__doc_id"), "left")
+    joined = docs.join(labels.hint("merge"), F.col("doc_id") == F.col("__doc_id"), "left")
     return joined.select(*docs.columns, weight.alias("weight"))
 
 
@@ -131,6 +137,33 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_embedding_dedup": op2_embedding_dedup, "op3_toxicity": op3_toxicity, "op4_minhash_dedup": op4_minhash_dedup, "op5_line_dedup": op5_line_dedup, "op6_fingerprint": op6_fingerprint, "op7_token_counts": op7_token_counts, "op8_html_text": op8_html_text, "op9_mixing": op9_mixing, "op10_secrets": op10_secrets}
+def with_package(query: Query) -> Query:
+    """``query``, with this package on the path of the Python workers wherever the driver was started."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if ROOT not in path.split(os.pathsep):
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (ROOT, path)))
+        return query(spark, sf_dir)
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: with_package(query)
+    for query in (
+        op1_bpe,
+        op2_embedding_dedup,
+        op3_toxicity,
+        op4_minhash_dedup,
+        op5_line_dedup,
+        op6_fingerprint,
+        op7_token_counts,
+        op8_html_text,
+        op9_mixing,
+        op10_secrets,
+    )
+}
 
 ORACLES: dict[str, str] = {"op9_mixing": mixing.ORACLE}
