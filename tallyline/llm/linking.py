@@ -17,7 +17,7 @@ from tallyline.llm.components import connected_components
 from tallyline.sources.sinks import materialise
 
 # Items of a bucket that one task compares; a bucket with more is cut into blocks, and tasks take two of them.
-BLOCK = 1024
+BLOCK = 512
 
 # Links among the items of one unit: columns by name and the class of each item, to positions (i, j).
 Compare = Callable[[dict[str, np.ndarray], np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -33,7 +33,7 @@ def shared_buckets(members: DataFrame) -> DataFrame:
 def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
     """Smallest node of each node's component, for nodes 0..n-1 and links left-right."""
     root = np.arange(n)
-    while True:
+    while len(left):
         low = np.minimum(root[left], root[right])
         new = root.copy()
         np.minimum.at(new, root[left], low)
@@ -44,6 +44,7 @@ def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
         if np.array_equal(new, root):
             return root
         root = new
+    return root
 
 
 def _units(compare: Compare):
@@ -60,8 +61,11 @@ def _units(compare: Compare):
             classes = columns["class"][start:end]
             if end - start > 1 and (classes != classes[0]).any():
                 a, b = compare({c: v[start:end] for c, v in columns.items()}, classes)
-                left.append(a + start)
-                right.append(b + start)
+                # The links of a unit may be many times its items; one per item says as much.
+                root = forest(a, b, end - start)
+                moved = np.flatnonzero(root != np.arange(end - start))
+                left.append(moved + start)
+                right.append(root[moved] + start)
         none = np.zeros(0, np.int64)
         ids = np.unique(columns["id"])
         place = np.searchsorted(ids, columns["id"])
