@@ -17,15 +17,6 @@ def enrich(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key:
     )
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only when a bounded count proves ``df`` has at most ``max_rows`` rows.
-
-    For derived dimensions (a distinct over a large table, say), whose size the optimizer overestimates.
-    A larger one is returned as it is and joined by shuffle.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def flag_if_in(df: DataFrame, key: str, members: DataFrame, out: str) -> DataFrame:
     """Add ``out`` = 1 where ``key`` is among the non-null keys of ``members``, else 0."""
     keys = members.where(F.col(key).isNotNull()).select(F.col(key).alias("_member")).distinct()

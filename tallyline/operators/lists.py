@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import list_ids
-from tallyline.operators.joins import broadcast_if_small
 
 
 def explode_list(df: DataFrame, column: str, out: str, sep: str = ",") -> DataFrame:
@@ -70,66 +69,24 @@ def net_list(
     name_key: str,
     name: str,
     out: str,
-    max_names: int = 64,
+    weight: str | None = None,
 ) -> DataFrame:
     """Per key, the net elements of its rows as ``'2xa, b'`` text in order of name.
 
     Each row brings the list ``base`` that ``bases`` holds for its ``base_key`` (one of ``keys``), less
-    its ``removed`` and plus its ``added`` elements; counts of zero or less are left out, and so are keys
-    with nothing left.
-
-    Up to ``max_names`` elements (counted first) are tallied in one column each. Only the changes are
-    unfolded, next to one marker per row that counts it; the base list is multiplied by that count after
-    the one aggregate, whose partial sums shuffle one row per key and task. Beyond ``max_names`` all
-    three lists are unfolded, tallied and gathered again.
+    its ``removed`` and plus its ``added`` elements; counts of zero or less, elements without a name and keys
+    with nothing left are left out. An id that ``names`` repeats shows under each of its names. ``weight``
+    names a column that counts how many equal rows a row stands for.
     """
+    n = F.sum(weight) if weight else F.count("*")
+    alike = df.groupBy(*keys, removed, added).agg(n.alias("_lines"))
     bases = bases.select(F.col(base_key).alias("_base_key"), F.col(base).alias("_base"))
+    lines = alike.join(bases, alike[base_key] == F.col("_base_key"), "left")
+    tally = signed_tally(lines, keys, "_element", "_base", removed, added, weight="_lines").where("net > 0")
     keyed = names.select(F.col(name_key).cast("bigint").alias("_id"), F.col(name).alias("_name"))
-    known = keyed.limit(max_names + 1).collect()
-    if len(known) > max_names:
-        lines = df.join(broadcast_if_small(bases), df[base_key] == F.col("_base_key"), "left")
-        tally = signed_tally(lines, keys, "_element", "_base", removed, added).where(F.col("net") > 0)
-        named = tally.join(keyed, F.col("_element") == F.col("_id"))
-        entry = F.struct(F.col("_name"), _with_count(F.col("net"), F.col("_name")).alias("value"))
-        return named.groupBy(*keys).agg(joined_text(entry).alias(out))
-
-    ids = {row["_id"]: row["_name"] for row in sorted(known, key=lambda row: row["_name"])}
-    marker = min(ids, default=0) - 1
-    lists = F.array(
-        *[
-            F.struct(ids_column.alias("ids"), F.lit(sign).cast("bigint").alias("sign"))
-            for ids_column, sign in (
-                (list_ids(F.col(removed)), -1),
-                (list_ids(F.col(added)), 1),
-                (F.array(F.lit(marker).cast("bigint")), 1),
-            )
-        ]
-    )
-    signed = df.select(*keys, F.inline(lists).alias("_ids", "_sign"))
-
-    def tallied(element: int) -> Column:
-        return F.sum(F.when(F.col("_element") == element, F.col("_sign")).otherwise(F.lit(0)))
-
-    totals = (
-        explode_ids(signed, "_ids", "_element")
-        .groupBy(*keys)
-        .agg(tallied(marker).alias("_n"), *[tallied(i).alias(f"_d{i}") for i in ids])
-    )
-    # How often each base list holds each element, worked out once per base and not per row.
-    base_ids = list_ids(F.col("_base"))
-    base_counts = broadcast_if_small(
-        bases.select(
-            "_base_key",
-            *[(F.size(base_ids) - F.size(F.array_remove(base_ids, i))).alias(f"_b{i}") for i in ids],
-        )
-    )
-    joined = totals.join(base_counts, totals[base_key] == base_counts["_base_key"], "left")
-    nets = {i: F.col("_n") * F.coalesce(F.col(f"_b{i}"), F.lit(0)) + F.col(f"_d{i}") for i in ids}
-    shown = [F.when(nets[i] > 0, _with_count(nets[i], F.lit(label))) for i, label in ids.items()]
-    anything = F.lit(False)
-    for net in nets.values():
-        anything = anything | (net > 0)
-    return joined.where(anything).select(*keys, F.concat_ws(", ", *shown).alias(out))
+    named = tally.join(keyed.where("_name IS NOT NULL"), F.col("_element") == F.col("_id"))
+    entry = F.struct(F.col("_name"), _with_count(F.col("net"), F.col("_name")).alias("value"))
+    return named.groupBy(*keys).agg(joined_text(entry).alias(out))
 
 
 def _with_count(net: Column, name: Column) -> Column:
@@ -140,27 +97,24 @@ def explode_ids(df: DataFrame, ids: str, out: str) -> DataFrame:
     return df.withColumn(out, F.explode(ids)).where(F.col(out).isNotNull()).drop(ids)
 
 
-def name_list(
-    df: DataFrame, column: str, names: DataFrame, key: str, name: str, out: str, max_names: int = 1000
-) -> DataFrame:
+def name_list(df: DataFrame, column: str, names: DataFrame, key: str, name: str, out: str) -> DataFrame:
     """Replace the ids of a list by their names, in list order, as ``'a, b'`` text; NULL for no names.
 
-    Up to ``max_names`` names (counted first) travel as one map and are looked up inside the row,
-    without a join. Beyond that each distinct list is named once by a join and joined back.
+    Each distinct list is named once by a join and joined back. Rows without a list match nothing; they are
+    dealt out by their other columns, so they do not meet in one task. An id that ``names`` repeats shows all
+    its names in order.
     """
     keyed = names.select(F.col(key).cast("bigint").alias("_key"), F.col(name).alias("_name"))
-    if keyed.limit(max_names + 1).count() <= max_names:
-        lookup = keyed.agg(F.map_from_entries(F.collect_list(F.struct("_key", "_name")))).scalar()
-        found = F.transform(list_ids(F.col(column)), lambda i: F.try_element_at(F.col("_names"), i))
-        named = df.withColumn("_names", lookup).withColumn(out, F.array_join(found, ", "))
-        return named.withColumn(out, F.nullif(out, F.lit(""))).drop("_names")
     lists = df.select(F.col(column).alias("_list")).where(F.col("_list").isNotNull()).distinct()
     items = lists.select("_list", F.posexplode(list_ids(F.col("_list"))).alias("_at", "_id"))
-    named = items.join(keyed, items["_id"] == keyed["_key"])
+    named = items.join(keyed.where("_name IS NOT NULL"), items["_id"] == keyed["_key"])
     texts = named.groupBy("_list").agg(
         joined_text(F.struct(F.col("_at"), F.col("_name").alias("value"))).alias(out)
     )
-    return df.join(texts, df[column] == texts["_list"], "left").drop("_list")
+    # No list holds the character U+0000.
+    nowhere = F.concat(F.lit("\0"), F.xxhash64(*df.columns).cast("string"))
+    keyed_rows = df.withColumn("_of", F.coalesce(F.col(column), nowhere))
+    return keyed_rows.join(texts, F.col("_of") == F.col("_list"), "left").drop("_of", "_list")
 
 
 def joined_text(entry: Column, sep: str = ", ") -> Column:
@@ -172,4 +126,4 @@ def joined_text(entry: Column, sep: str = ", ") -> Column:
 def named_elements(df: DataFrame, element: str, names: DataFrame, key: str) -> DataFrame:
     """Left join of exploded list elements to their dimension, the key cast once before the join."""
     keyed = names.withColumn(key, F.col(key).cast("bigint"))
-    return df.join(broadcast_if_small(keyed), df[element] == keyed[key], "left").drop(keyed[key])
+    return df.join(keyed, df[element] == keyed[key], "left").drop(keyed[key])

@@ -24,8 +24,7 @@ weekly AS (
               END AS segment,
          CASE ck % 3 WHEN 0 THEN 'Guest' WHEN 1 THEN 'New' ELSE 'Existing' END AS customer_type,
          amount
-  FROM sold
-  WHERE year(monday) IN (1996, 1997, 1998) AND month(monday) BETWEEN 3 AND 9)
+  FROM sold)
 """
 
 SALES = "CAST(sum(amount) AS DOUBLE)"
@@ -77,8 +76,8 @@ SQL = {
         "SELECT DISTINCT week_number, CAST(dayofweek(week_date) AS BIGINT) AS day_of_week FROM weekly"
     ),
     "distinct_weekdays": _over("SELECT DISTINCT CAST(dayofweek(week_date) AS BIGINT) AS day_of_week FROM weekly"),
-    "missing_weeks": _over("""
-        SELECT i AS week_number FROM range(1, 53) t(i) WHERE i NOT IN (SELECT week_number FROM weekly)"""),
+    "missing_weeks": """
+        SELECT i AS week_number FROM range(1, 53) t(i) WHERE i NOT IN (SELECT weekofyear(ts) FROM events)""",
     "transactions_per_year": _over("SELECT year_number, count(*) AS transactions FROM weekly GROUP BY year_number"),
     "transactions_per_region_month": _over(f"""
         SELECT strftime(week_date, '%Y-%m') AS month, region, count(*) AS transactions, {SALES} AS sales

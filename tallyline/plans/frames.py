@@ -68,7 +68,6 @@ CAMPAIGNS = [
 ]
 
 CLICK_ANCHOR = dt.date(2024, 1, 1)
-SALES_YEARS = (1996, 1997, 1998)
 UNIT_WORDS = {"distance": ["km"], "duration": ["minutes", "mins", "minute"]}
 
 
@@ -238,26 +237,6 @@ def recipes(spark: SparkSession, base: str) -> DataFrame:
 Span = tuple[dt.date, dt.date]
 
 
-def sales_weeks() -> list[Span]:
-    """Per sales year, the span [first, past) of the whole weeks whose Monday is in March to September."""
-    spans = []
-    for year in SALES_YEARS:
-        march, october = dt.date(year, 3, 1), dt.date(year, 10, 1)
-        first = march + dt.timedelta(days=-march.weekday() % 7)
-        past = october + dt.timedelta(days=-october.weekday() % 7)
-        spans.append((first, past))
-    return spans
-
-
-def iso_weeks(first_week: int, last_week: int) -> list[Span]:
-    """Per sales year, the span [first, past) of a run of ISO weeks."""
-    week = dt.timedelta(weeks=1)
-    return [
-        (dt.date.fromisocalendar(year, first_week, 1), dt.date.fromisocalendar(year, last_week, 1) + week)
-        for year in SALES_YEARS
-    ]
-
-
 WEEKLY_DIMENSIONS = ("platform", "region", "segment", "customer_type")
 
 
@@ -270,13 +249,13 @@ def weekly_sales_raw(
     """Sales per week (as day/month/year text) and the asked dimensions: transactions and sales.
 
     Only the joins behind the asked dimensions are planned. The customer side is put on the orders
-    first, so lines are shuffled once, by order. ``spans`` narrows the season to some of its whole weeks;
-    being plain date ranges, they reach the scan.
+    first, so lines are shuffled once, by order. ``spans`` narrows the sales to some whole weeks, for a question
+    about these weeks alone; being plain date ranges, they reach the scan.
     """
     wanted = [d for d in WEEKLY_DIMENSIONS if d in set(dimensions)]
     day = F.col("l_shipdate")
-    in_span = F.lit(False)
-    for first, past in sales_weeks() if spans is None else spans:
+    in_span = F.lit(spans is None)
+    for first, past in spans or ():
         in_span = in_span | (
             (day >= F.lit(first).cast("timestamp_ntz")) & (day < F.lit(past).cast("timestamp_ntz"))
         )

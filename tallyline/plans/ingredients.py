@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from types import MappingProxyType
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.operators.joins import broadcast_if_small, enrich
+from tallyline.operators.joins import enrich
 from tallyline.operators.lists import (
     explode_list,
     joined_text,
@@ -18,7 +21,6 @@ from tallyline.operators.lists import (
 from tallyline.plans import frames
 from tallyline.sources import append_literal_rows
 
-EXTRA_PRICE, SPECIAL_EXTRA, SPECIAL_EXTRA_PRICE = 1, "Feta", 2
 NEW_ITEM = (-1, "house special")
 NEW_RECIPE_ITEM = "HOUSE SPECIAL"
 
@@ -28,7 +30,7 @@ def _with_item(spark: SparkSession, base: str, lines: DataFrame) -> DataFrame:
 
 
 def _with_recipe(spark: SparkSession, base: str, lines: DataFrame) -> DataFrame:
-    recipes = broadcast_if_small(frames.recipes(spark, base))
+    recipes = frames.recipes(spark, base)
     return lines.join(recipes, lines["item"] == recipes["recipe_item"], "left").drop("recipe_item")
 
 
@@ -102,8 +104,13 @@ def order_item_label(spark: SparkSession, base: str) -> DataFrame:
 
 def order_ingredient_list(spark: SparkSession, base: str) -> DataFrame:
     """Per order and item, ``item: 2xa, b``: the net ingredients of its lines in order of name."""
+    alike = (
+        frames.order_lines(spark, base)
+        .groupBy("order_id", "product_id", "removed", "added")
+        .agg(F.count("*").alias("n"))
+    )
     lists = net_list(
-        _with_item(spark, base, frames.order_lines(spark, base)),
+        _with_item(spark, base, alike),
         ["order_id", "item"],
         "removed",
         "added",
@@ -114,6 +121,7 @@ def order_ingredient_list(spark: SparkSession, base: str) -> DataFrame:
         "ingredient_id",
         "ingredient",
         "ingredients",
+        weight="n",
     )
     text = F.concat(F.col("item"), F.lit(": "), F.col("ingredients"))
     return lists.select("order_id", "item", text.alias("ingredient_list"))
@@ -138,7 +146,12 @@ def ingredient_usage_total(spark: SparkSession, base: str) -> DataFrame:
     return named.select("ingredient", F.col("net").alias("n_used")).orderBy(F.desc("n_used"), "ingredient")
 
 
-def revenue_with_extras(spark: SparkSession, base: str) -> DataFrame:
+def revenue_with_extras(
+    spark: SparkSession,
+    base: str,
+    extra_price: int = 1,
+    special_prices: Mapping[str, int] = MappingProxyType({"Feta": 2}),
+) -> DataFrame:
     """Ordered revenue at fixed item prices plus a surcharge per added ingredient, special ones dearer."""
     per_product = frames.order_lines(spark, base).groupBy("product_id", "added").agg(F.count("*").alias("n"))
     alike = _with_item(spark, base, per_product).groupBy("item", "added").agg(F.sum("n").alias("n"))
@@ -146,9 +159,10 @@ def revenue_with_extras(spark: SparkSession, base: str) -> DataFrame:
         explode_list(alike, "added", "element"), "element", frames.ingredients(spark), "ingredient_id"
     )
     known = F.coalesce(F.col("ingredient"), F.lit("-"))
-    surcharge = (
-        F.when(known == "-", 0).when(known == SPECIAL_EXTRA, SPECIAL_EXTRA_PRICE).otherwise(EXTRA_PRICE)
-    )
+    surcharge = F.when(known == "-", 0)
+    for special, price in special_prices.items():
+        surcharge = surcharge.when(known == special, price)
+    surcharge = surcharge.otherwise(extra_price)
     per_item = alike.groupBy("item").agg(
         F.sum(frames.item_price(F.col("item")) * F.col("n")).alias("item_total")
     )

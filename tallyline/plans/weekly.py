@@ -86,7 +86,9 @@ def distinct_weekdays(spark: SparkSession, base: str) -> DataFrame:
 
 
 def missing_weeks(spark: SparkSession, base: str) -> DataFrame:
-    return missing_in_series(weekly_sales(spark, base), "week_number", 1, 52).orderBy("week_number")
+    """The weeks of the year without any event."""
+    weeks = frames.read_table(spark, base, "events").select(F.weekofyear("ts").cast("bigint").alias("week_number"))
+    return missing_in_series(weeks, "week_number", 1, 52).orderBy("week_number")
 
 
 def transactions_per_year(spark: SparkSession, base: str) -> DataFrame:
@@ -182,9 +184,8 @@ def before_after_12w(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _before_after_by_year(spark: SparkSession, base: str, *by: str) -> DataFrame:
-    spans = frames.iso_weeks(CHANGE_WEEK - WINDOW_WEEKS, CHANGE_WEEK + WINDOW_WEEKS - 1)
     period = period_by_week(F.col("week_number"), CHANGE_WEEK, WINDOW_WEEKS)
-    return compare_periods(weekly_sales(spark, base, *by, spans=spans), period, "sales", ["year_number", *by])
+    return compare_periods(weekly_sales(spark, base, *by), period, "sales", ["year_number", *by])
 
 
 def before_after_by_year(spark: SparkSession, base: str) -> DataFrame:

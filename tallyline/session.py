@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
@@ -15,6 +17,7 @@ def local_session(cores: str = "8", app_name: str = "tallyline") -> SparkSession
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", os.environ.get("SPARK_SHARED_DIR", "/tmp/tallyline-shared"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

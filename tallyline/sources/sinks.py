@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -14,20 +11,13 @@ from tallyline.sources.tables import literal_table
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the session in ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or one in the warehouse where it is unset.
 
-    Only a local session may go without: it gets a scratch folder of its own, removed at exit.
+    The warehouse is the place that a session already shares for its own tables, so nothing is ever written
+    to a folder that only one machine sees.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="tallyline-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    context.setCheckpointDir(own)
-    return own
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured.rstrip("/") if configured else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
@@ -47,9 +37,19 @@ def append_literal_rows(df: DataFrame, rows: Sequence[Sequence]) -> DataFrame:
     return df.unionByName(literal_table(df.sparkSession, rows, df.schema))
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tallyline/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other call returns."""
-    return f"{shared_dir(spark)}/tallyline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this session has written to the shared folder; frames that read them end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -32,9 +32,6 @@ SCHEMAS: dict[str, str] = {
     ),
 }
 
-# A literal table is typed into the program, so this bounds what its readers may broadcast.
-MAX_LITERAL_ROWS = 1000
-
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """Scan ``<base_dir>/<name>.parquet`` with its declared schema, so no footer is read to infer one."""
@@ -49,8 +46,6 @@ def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.Struc
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} rows is too many for a literal table; load them from a file")
     columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
     arrow_schema = to_arrow_schema(schema)
     arrays = [pa.array(list(values), type=field.type) for values, field in zip(columns, arrow_schema)]

@@ -33,10 +33,9 @@ def test_two_roles_of_one_dimension(spark, names):
     assert got == {("pear", "date"), ("apple", None), (None, "fig")}
 
 
-@pytest.mark.parametrize("bound", [1000, 2])
-def test_names_keep_list_order(spark, names, bound):
+def test_names_keep_list_order(spark, names):
     df = spark.createDataFrame([(1, "10, 1"), (2, None), (3, "3"), (4, "77"), (5, "2, 77, 1")], "k int, l string")
-    got = {r.k: r.out for r in name_list(df, "l", names, "id", "label", "out", bound).collect()}
+    got = {r.k: r.out for r in name_list(df, "l", names, "id", "label", "out").collect()}
     assert got == {1: "date, pear", 2: None, 3: "fig", 4: None, 5: "apple, pear"}
 
 
@@ -94,11 +93,10 @@ def test_tally_of_counted_lines_equals_tally_of_lines(lines, bases):
     assert {tuple(r) for r in one_by_one.collect()} == {tuple(r) for r in counted.collect()}
 
 
-@pytest.mark.parametrize("bound", [64, 2])
-def test_net_list_on_both_paths(lines, bases, names, bound):
+def test_net_list_matches_brute_force(lines, bases, names):
     rows, df = lines
     got = net_list(
-        df, ["o", "item"], "removed", "added", bases, "item", "base", names, "id", "label", "text", bound
+        df, ["o", "item"], "removed", "added", bases, "item", "base", names, "id", "label", "text"
     ).collect()
     want = {}
     for key, tally in _brute_force(rows).items():
@@ -106,3 +104,28 @@ def test_net_list_on_both_paths(lines, bases, names, bound):
         if shown:
             want[key] = ", ".join(label if n == 1 else f"{n}x{label}" for label, n in shown)
     assert {(r.o, r.item): r.text for r in got} == want
+
+
+def test_repeated_ids_and_names_that_are_null(spark, bases):
+    odd = spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b"), (10, None)], "id int, label string")
+    df = spark.createDataFrame([("A", None, "2"), ("A", "10", None)], "item string, removed string, added string")
+    got = net_list(df, ["item"], "removed", "added", bases, "item", "base", odd, "id", "label", "text").collect()
+    assert [r.text for r in got] == ["2xa, 2xa2, 3xb"]
+    named = spark.createDataFrame([(1, "1, 2"), (2, "10")], "k int, l string")
+    got = {r.k: r.out for r in name_list(named, "l", odd, "id", "label", "out").collect()}
+    assert got == {1: "a, a2, b", 2: None}
+
+
+def test_a_dimension_of_two_thousand_names(spark, bases):
+    many = spark.createDataFrame([(i, f"n{i:04}") for i in range(2000)], "id int, label string")
+    df = spark.createDataFrame([("A", "10", "1999, 7, 7")], "item string, removed string, added string")
+    got = net_list(df, ["item"], "removed", "added", bases, "item", "base", many, "id", "label", "text").first()
+    assert got.text == "n0001, n0002, 2xn0007, n1999"
+    assert name_list(df, "added", many, "id", "label", "out").first().out == "n1999, n0007, n0007"
+
+
+def test_rows_without_a_list_do_not_share_a_join_key(spark, names):
+    df = spark.createDataFrame([(k, None) for k in range(100)], "k int, l string")
+    plan = name_list(df, "l", names, "id", "label", "out")
+    assert plan.where("out IS NULL").count() == 100
+    assert "xxhash64" in plan._jdf.queryExecution().optimizedPlan().toString()

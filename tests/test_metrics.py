@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from tallyline.plans import weekly
 from tallyline.operators.metrics import (
     compare_periods,
     missing_in_series,
@@ -83,3 +84,13 @@ def test_hot_group_share(spark):
     got = share_of_total(df, {"v": "pct"}, ["g"], digits=6).where("v = 10").dropDuplicates(["g"]).collect()
     for r in got:
         assert abs(float(r.pct) - 1000 / totals[r.g]) < 1e-5
+
+
+def test_every_line_is_in_a_year(spark):
+    base = "/root/testdata/sf0.001"
+    years = weekly.transactions_per_year(spark, base).collect()
+    assert sum(r.transactions for r in years) == spark.read.parquet(f"{base}/lineitem.parquet").count()
+
+
+def test_weeks_of_several_years_fall_on_mondays(spark):
+    assert [r.day_of_week for r in weekly.distinct_weekdays(spark, "/root/testdata/sf0.001").collect()] == [1]

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tallyline.plans import clickstream, delivery, loyalty, transactions, weekly
+from tallyline.plans import clickstream, delivery, ingredients, loyalty, transactions, weekly
 from tallyline.plans.registry import PLANS
 
 BASE = "/root/testdata/sf0.001"
@@ -86,3 +86,21 @@ def test_percentiles_broadcast_only_the_found_prefixes(plan_of):
     assert "percentile" not in plan.lower()
     for exchange in re.findall(r"BroadcastExchange.*\n.*", plan):
         assert "rank" in exchange, exchange
+
+
+@pytest.mark.parametrize(
+    "plan",
+    [
+        ingredients.order_item_label,
+        ingredients.order_ingredient_list,
+        ingredients.ingredients_per_item,
+        ingredients.paired_changes,
+        ingredients.ingredient_usage_total,
+        ingredients.revenue_with_extras,
+    ],
+)
+def test_building_a_list_query_starts_no_job(spark, plan):
+    group = f"build-{plan.__name__}"
+    spark.sparkContext.setJobGroup(group, group)
+    plan(spark, BASE)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)

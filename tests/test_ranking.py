@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tallyline.operators.joins import broadcast_if_small, flag_if_in, keep_if_in, keep_if_not_in
+from tallyline.operators.joins import flag_if_in, keep_if_in, keep_if_not_in
 from tallyline.operators.ranking import first_from, first_per_group, last_before, top_n
 
 
@@ -43,14 +43,3 @@ def test_membership_with_nulls_and_repeats(spark):
     assert [r.k for r in keep_if_in(df, "k", members).collect()] == [1, 1]
     assert [r.k for r in keep_if_not_in(df, "k", members).collect()] == [2]
 
-
-def test_broadcast_only_below_the_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(100).withColumnRenamed("id", "k")
-        for bound, expected in ((50, True), (49, False)):
-            small = broadcast_if_small(spark.range(50), bound)
-            plan = big.join(small, F.col("k") == F.col("id"))._jdf.queryExecution().executedPlan().toString()
-            assert ("BroadcastHashJoin" in plan) is expected
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
