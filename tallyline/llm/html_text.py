@@ -203,12 +203,12 @@ def main_text(page: str | None) -> str:
 
     texts, punctuation = smoothed(length), smoothed(marks)
     score = {path: weight[path] * texts[path] * (1 + punctuation[path]) for path in count}
-    total = sum(length[path] for path in count if weight[path])
-    mean = sum(score[path] * length[path] for path in count) / total if total else 0.0
-    # Where a page has content containers, they hold the article and loose paths outside must match them.
-    kept = {path for path in count if score[path] > 0 and score[path] >= THRESHOLD * mean}
-    if any(container[path] for path in kept):
-        kept = {path for path in kept if container[path]}
+    # Where a page has content containers, they hold the article and text outside them is not weighed against it.
+    held = {path for path in count if score[path] > 0 and container[path]}
+    rated = held or {path for path in count if score[path] > 0}
+    total = sum(length[path] for path in rated)
+    mean = sum(score[path] * length[path] for path in rated) / total if total else 0.0
+    kept = {path for path in rated if score[path] >= THRESHOLD * mean}
     return "\n".join(text for element, text in blocks if (element.path if element else "") in kept)
 
 

@@ -1,0 +1,109 @@
+"""Targets against repeated resharing, selections against brute force, and the query against its SQL."""
+
+import hashlib
+import math
+import os
+from collections import defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tallyline.llm import mixing
+from tallyline.llm.queries import ORACLES, op9_mixing
+
+
+def reshared(sizes):
+    order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(order)}
+    target, open_, rest = {}, set(order), 1.5 * sum(sizes.values())
+    while open_:
+        level = rest / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] > 2 * sizes[s]}
+        if not full:
+            target |= {s: level * weight[s] for s in open_}
+            break
+        target |= {s: 2.0 * sizes[s] for s in full}
+        rest -= sum(target[s] for s in full)
+        open_ -= full
+    return target
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [{"a": 100, "b": 100, "c": 100, None: 7}, {"a": 1, "b": 1000, "c": 10, "d": 5, "é": 80}, {None: 3}, {"a": 0, "b": 0}],
+)
+def test_targets(spark, sizes):
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
+    assert got == pytest.approx(reshared(sizes))
+
+
+def chosen(rows):
+    """doc_id to times, by sorting everything."""
+    by_source = defaultdict(list)
+    for key, size, source, weight in rows:
+        u = (int(hashlib.md5(f"{key}:mix".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        by_source[source].append((-math.log(u) / weight, key, size))
+    target = reshared({s: sum(r[2] for r in docs) for s, docs in by_source.items()})
+    times = {}
+    for source, docs in by_source.items():
+        whole = sum(r[2] for r in docs)
+        epochs = int(target[source] // whole) if whole else 0
+        budget, got, rest = target[source] - epochs * whole, 0, []
+        for order, key, size in sorted(docs):
+            times[key] = epochs
+            if not rest and got + size <= budget and epochs < 2:
+                times[key] += 1
+                got += size
+            else:
+                rest.append((abs(budget - got - size), order, key))
+        left = {key for _, _, key in rest}
+        better = [(abs(budget - got - size), order, key) for order, key, size in docs if key in left]
+        better = [r for r in better if r[0] < budget - got]
+        if better and epochs < 2:
+            times[min(better)[2]] += 1
+    return times
+
+
+@pytest.mark.parametrize("shares", [1024, 2])
+def test_selection_against_brute_force(spark, monkeypatch, shares):
+    monkeypatch.setattr(mixing, "SHARES", shares)
+    rows = [(i, i * 37 % 90, "abc"[i * i % 3] if i % 10 else None, (1.0, 2.0, 0.5)[i % 3]) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id bigint, size bigint, source string, weight double")
+    df = df.withColumn("times", F.lit("old"))
+    got = {r["doc_id"]: r["times"] for r in mixing.mix(df, quality="weight").collect()}
+    assert got == chosen(rows)
+
+
+def test_nulls_repeats_and_empty(documents):
+    df = documents((1, "a b"), (1, "a b"), (None, "c d"), (2, None), (3, "", None)).withColumn(
+        "size", mixing.size_of(F.col("text"))
+    )
+    rows = mixing.mix(df).collect()
+    assert len(rows) == 5 and len({r["times"] for r in rows if r["doc_id"] == 1}) == 1
+    assert all(0 <= r["times"] <= 2 for r in rows)
+    assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_size_counts_runs_without_white_space(documents):
+    texts = ["a  b\t\x0bc\r\nd", "a\xa0b", " ", "", None]
+    rows = documents(*texts).select(mixing.size_of(F.col("text")).alias("n")).collect()
+    assert [r["n"] for r in rows] == [4, 1, 0, 0, 0]
+
+
+@pytest.mark.parametrize("base", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_query_against_sql(spark, base):
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{os.path.join(base, name)}.parquet'")
+    want = con.execute(ORACLES["op9_mixing"]).fetchall()
+    rows = [tuple(r) for r in op9_mixing(spark, base).collect()]
+    assert sorted(rows) == sorted(want)
+    taken, largest = defaultdict(int), defaultdict(int)
+    for _, size, whole, goal, took in rows:
+        assert took <= 2 * size
+        taken[whole, goal] += took
+        largest[whole, goal] = max(largest[whole, goal], size)
+    for (whole, goal), words in taken.items():
+        assert abs(words - goal) <= max(0.05 * goal, largest[whole, goal] / 2)
