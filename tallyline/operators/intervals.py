@@ -2,42 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+DAY = 86_400
+
+
+def _bucket(at: str | Column, seconds: int) -> Column:
+    """Number of the stretch of ``seconds`` that holds a point in time, without a time zone."""
+    column = F.col(at) if isinstance(at, str) else at
+    day = F.unix_date(F.to_date(column)).cast("bigint")
+    second = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+    return F.floor((day * DAY + second) / seconds)
+
 
 def attribute_interval(
-    points: DataFrame,
-    at: str,
-    intervals: DataFrame,
-    start: str,
-    end: str,
-    span: DataFrame | None = None,
-    span_at: str | None = None,
+    points: DataFrame, at: str, intervals: DataFrame, start: str, end: str, bucket_seconds: int = DAY
 ) -> DataFrame:
     """Left join of points to the intervals with ``start <= at <= end``.
 
-    A point in several intervals gives several rows, one in none gives one row with NULLs. Intervals are
-    cut into days and joined on the day, with the exact bounds kept in the join condition; a point lies
-    in one day, so nothing is repeated. This is a hash or sort-merge join at any size, never a nested
-    loop. The day list of a long or open-ended interval is clipped to the days the points cover, taken
-    from ``span`` (any frame whose ``span_at`` covers them; the points themselves by default).
+    A point in several intervals gives several rows, one in none gives one row with NULLs. Intervals are cut
+    into buckets of ``bucket_seconds`` and joined on the bucket, with the exact bounds kept in the join
+    condition; a point lies in one bucket, so nothing is repeated. This is a hash or sort-merge join at any
+    size, never a nested loop; many short intervals want buckets about as short as they are. A long or
+    open-ended interval is clipped to the buckets the points cover, which are measured on ``points``: a frame
+    that is costly to compute is better written first.
     """
-    covering, covering_at = (points, at) if span is None else (span, span_at or at)
-    day = F.to_date(covering_at)
-    first_day = covering.agg(F.min(day)).scalar()
-    last_day = covering.agg(F.max(day)).scalar()
-    clipped = intervals.withColumn("_from", F.greatest(F.to_date(start), first_day)).withColumn(
-        "_to", F.least(F.to_date(end), last_day)
-    )
-    per_day = (
-        clipped.where(F.col("_from") <= F.col("_to"))
-        .withColumn("_day", F.explode(F.sequence("_from", "_to")))
-        .drop("_from", "_to")
+    bucket = _bucket(at, bucket_seconds)
+    first = points.agg(F.min(bucket)).scalar()
+    last = points.agg(F.max(bucket)).scalar()
+    clipped = intervals.withColumn("_from", F.greatest(_bucket(start, bucket_seconds), first)).withColumn(
+        "_to", F.least(_bucket(end, bucket_seconds), last)
     )
+    # Without points there is nothing to clip to and nothing to unfold.
+    inside = clipped.where(last.isNotNull() & (F.col("_from") <= F.col("_to")))
+    cut = inside.withColumn("_bucket", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
     condition = (
-        (F.to_date(points[at]) == per_day["_day"])
-        & (points[at] >= per_day[start])
-        & (points[at] <= per_day[end])
+        (_bucket(points[at], bucket_seconds) == cut["_bucket"])
+        & (points[at] >= cut[start])
+        & (points[at] <= cut[end])
     )
-    return points.join(per_day, condition, "left").drop("_day")
+    return points.join(cut, condition, "left").drop("_bucket")

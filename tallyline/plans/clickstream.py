@@ -204,18 +204,10 @@ COUNTERS = {
 def _with_campaign(spark: SparkSession, base: str, visits: DataFrame) -> DataFrame:
     """Match each visit to the campaigns running at its start.
 
-    The days the visits cover are measured on the raw event times, a one-column scan, so that the visits
-    are not computed twice.
+    The visits are written first: their span and the matches are read from that table, the events once.
     """
-    attributed = attribute_interval(
-        visits,
-        "visit_start",
-        frames.campaigns(spark),
-        "starts",
-        "ends",
-        span=frames.read_table(spark, base, "events").select("ts"),
-        span_at="ts",
-    )
+    written = materialise(visits, "visits")
+    attributed = attribute_interval(written, "visit_start", frames.campaigns(spark), "starts", "ends")
     return attributed.withColumn(
         "campaign_name", F.coalesce("campaign_name", F.lit(NO_CAMPAIGN))
     ).select("user_id", "visit_id", "visit_start", *COUNTERS, "campaign_name")

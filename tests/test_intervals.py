@@ -10,10 +10,10 @@ def hours(n):
     return START + dt.timedelta(hours=n)
 
 
-def attribute(spark, points, intervals):
+def attribute(spark, points, intervals, seconds=86_400):
     p = spark.createDataFrame(points, "id int, at timestamp_ntz")
     i = spark.createDataFrame(intervals, "name string, s timestamp_ntz, e timestamp_ntz")
-    return sorted((r.id, r.name or "") for r in attribute_interval(p, "at", i, "s", "e").collect())
+    return sorted((r.id, r.name or "") for r in attribute_interval(p, "at", i, "s", "e", seconds).collect())
 
 
 def brute_force(points, intervals):
@@ -38,7 +38,8 @@ def test_open_ends_and_overlaps_match_a_nested_loop(spark):
         intervals.append((f"i{i}", hours(s), hours(s + rng.randrange(120))))
     # A third of the points lie on one day.
     points = [(n, hours(240 + rng.random() * 24 if n % 3 == 0 else rng.random() * 900)) for n in range(400)]
-    assert attribute(spark, points, intervals) == brute_force(points, intervals)
+    for seconds in (86_400, 3_000, 10_000_000):
+        assert attribute(spark, points, intervals, seconds) == brute_force(points, intervals)
 
 
 def test_no_intervals_keeps_every_point(spark):
@@ -46,7 +47,9 @@ def test_no_intervals_keeps_every_point(spark):
 
 
 def test_no_points(spark):
-    assert attribute(spark, [], [("a", hours(0), hours(9))]) == []
+    assert attribute(spark, [], [("a", hours(0), hours(9)), ("open", hours(0), dt.datetime(9999, 12, 31))], 60) == []
+    nowhere = [(1, None)]
+    assert attribute(spark, nowhere, [("open", hours(0), dt.datetime(9999, 12, 31))], 60) == [(1, "")]
 
 
 def test_a_point_without_a_time_is_kept(spark):
