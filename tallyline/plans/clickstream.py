@@ -13,7 +13,8 @@ from tallyline.operators.metrics import share_of_total
 from tallyline.operators.ranking import top_n
 from tallyline.plans import frames
 from tallyline.plans.frames import ADD, CLICK, CLICK_ANCHOR, IMPRESSION, PURCHASE, VIEW
-from tallyline.sources import materialise
+from tallyline.sources import materialise, replace_table
+from tallyline.sources.sinks import scratch_path, table_exists
 
 CHECKOUT_PAGE = 12
 NO_CAMPAIGN = "No Campaign"
@@ -158,19 +159,30 @@ def product_funnel_by_views(spark: SparkSession, base: str) -> DataFrame:
     return _funnel(spark, base, "page_name").orderBy(F.desc("n_views"), "page_name")
 
 
+# Where each session has written the product funnel of a base folder.
+_FUNNELS: dict[tuple[str, str], str] = {}
+
+
+def _stored_funnel(spark: SparkSession, base: str) -> DataFrame:
+    """The product funnel as a table that a session writes once per base and all its readers share."""
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _FUNNELS or not table_exists(spark, _FUNNELS[key]):
+        _FUNNELS[key] = scratch_path(spark, "product_funnel")
+        return replace_table(_funnel(spark, base, "page_name"), _FUNNELS[key])
+    return spark.read.parquet(_FUNNELS[key])
+
+
 def funnel_table(spark: SparkSession, base: str) -> DataFrame:
     """The product funnel, computed once and read back as a table."""
-    table = materialise(_funnel(spark, base, "page_name"), "product_funnel")
-    table.createOrReplaceTempView("product_funnel")
-    return spark.table("product_funnel")
+    return _stored_funnel(spark, base)
 
 
 def funnel_ranked(spark: SparkSession, base: str) -> DataFrame:
-    return funnel_table(spark, base).orderBy(F.desc("n_views"), "page_name")
+    return _stored_funnel(spark, base).orderBy(F.desc("n_views"), "page_name")
 
 
 def _rate(spark: SparkSession, base: str, out: str, part: str, whole: str) -> DataFrame:
-    table = rates(_funnel(spark, base, "page_name"), {out: (part, whole)})
+    table = rates(_stored_funnel(spark, base), {out: (part, whole)})
     return table.select("page_name", out).orderBy(F.desc(out), "page_name")
 
 

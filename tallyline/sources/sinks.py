@@ -46,6 +46,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def table_exists(spark: SparkSession, table: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(table)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the tables that this session has written to the shared folder; frames that read them end."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))

@@ -60,3 +60,12 @@ def test_shares_of_a_period_add_up(spark):
     for plan, key in ((weekly.platform_share_by_month, "month"), (weekly.demographic_share_by_year, "year_number")):
         for row in plan(spark, BASE).groupBy(key).sum("transactions_pct", "sales_pct").collect():
             assert all(abs(float(total) - 100) < 0.05 for total in row[1:])
+
+
+def test_later_readers_of_the_funnel_do_not_read_the_events(spark):
+    base = "/root/testdata/sf0.001"
+    first = clickstream.funnel_table(spark, base).collect()
+    later = [clickstream.funnel_ranked(spark, base), clickstream.abandon_rate(spark, base)]
+    assert sorted(later[0].collect()) == sorted(first)
+    for frame in later:
+        assert "events.parquet" not in "".join(frame.inputFiles())
