@@ -35,9 +35,6 @@ def list_ids(col: Column, sep: str = ",", type_name: str = "bigint") -> Column:
     return F.split(col, re.escape(sep)).try_cast(f"array<{type_name}>")
 
 
-def list_length(col: Column, separators: str = ", ") -> Column:
-    """Number of characters left when the separator characters are taken out; 0 for NULL.
-
-    Positive exactly when the list has an item, which is what flags a changed line.
-    """
-    return F.coalesce(F.char_length(F.translate(col, separators, "")), F.lit(0))
+def list_length(col: Column, sep: str = ",") -> Column:
+    """Number of ids in a list kept as text; 0 for NULL."""
+    return F.coalesce(F.size(F.array_compact(list_ids(col, sep))), F.lit(0))

@@ -86,10 +86,9 @@ def compare_periods(
 
 def period_around(date: Column, change: dt.date, weeks: int) -> Column:
     """'before' for the ``weeks`` weeks before ``change``, 'after' for the same span from it on, else NULL."""
-    span = dt.timedelta(weeks=weeks)
-    return F.when((date >= F.lit(change - span)) & (date < F.lit(change)), "before").when(
-        (date >= F.lit(change)) & (date < F.lit(change + span)), "after"
-    )
+    # The middle of a day lies half a day from the change at least, so the distance alone bounds both sides.
+    days = F.date_diff(date, F.lit(change))
+    return F.when(F.abs(2 * days + 1) < 14 * weeks, F.when(days < 0, "before").otherwise("after"))
 
 
 def period_by_week(week: Column, change_week: int, weeks: int) -> Column:

@@ -87,7 +87,7 @@ def test_list_functions(spark):
         None,
         [2, None, None, 10],
     ]
-    assert column(df.select(list_length(F.col("l")).alias("n")), "n") == [2, 1, 0, 0, 4]
+    assert column(df.select(list_length(F.col("l")).alias("n")), "n") == [2, 1, 0, 0, 2]
 
 
 def test_ratio_rounds_half_up_last_and_survives_zero(spark):
