@@ -216,3 +216,63 @@ def test_lines_without_keys_and_empty_tables(documents):
     rows = line_dedup.dedup_lines(documents((None, line), (1, line), (2, line))).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in rows) == [("1", line), ("2", ""), ("None", line)]
     assert line_dedup.dedup_lines(documents().limit(0)).count() == 0
+
+
+def edited(rnd, words, share):
+    """A line with a share of its words replaced, one at least."""
+    new = list(words)
+    for k in rnd.sample(range(len(words)), max(1, int(share * len(words)))):
+        new[k] = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=len(words[k])))
+    return " ".join(words), " ".join(new)
+
+
+def recall(n_words, share, n=300):
+    """Share of the line pairs of edit similarity 0.8 or more that are candidates; nothing else gates them."""
+    rnd = random.Random(n_words)
+    vocabulary = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(3000)]
+    pairs = [edited(rnd, rnd.choices(vocabulary, k=n_words), share) for _ in range(n)]
+    pairs = [p for p in pairs if line_dedup.edit_similarity(*p) >= 0.8]
+    keys = line_dedup.bands([line for p in pairs for line in p])
+    return float(np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(keys[::2], keys[1::2])]))
+
+
+@pytest.mark.parametrize("n_words", [8, 12, 20, 30, 50, 120])
+def test_lines_with_a_word_replaced_are_candidates(n_words):
+    assert recall(n_words, 0) > 0.97
+    assert recall(n_words, 0.1) > 0.97
+
+
+def test_lines_are_grouped_by_edit_similarity_alone(documents):
+    rnd = random.Random(9)
+    vocabulary = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(4, 9))) for _ in range(3000)]
+    lines = [line for n in (8, 12, 20, 30, 50, 120) for _ in range(4) for line in edited(rnd, rnd.choices(vocabulary, k=n), 0)]
+    alike = [line_dedup.edit_similarity(a, b) >= 0.8 for a, b in zip(lines[::2], lines[1::2])]
+    rows = line_dedup.dedup_lines(documents(*lines)).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in rows] == [int(k) for near in alike for k in (0, near)]
+    assert sum(alike) > 20
+
+
+def test_alike_is_edit_similarity():
+    rnd = random.Random(7)
+    for _ in range(3000):
+        a = "".join(rnd.choices("abc", k=rnd.randint(0, 12)))
+        b = a[:3] + "".join(rnd.choices("abc", k=rnd.randint(0, 3))) + a[rnd.randint(3, 6) :]
+        assert line_dedup.alike(a, b) == (distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
+
+
+def test_tasks_are_bounded_with_one_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(linking, "BLOCK", 16)
+    # All but one of a bucket are connected already: one comparison each. Then none of them are.
+    ids = spark.range(4000).select(F.lit(1).cast("bigint").alias("bucket"), "id")
+    for name, copies in (("CASE WHEN id = 7 THEN 1 ELSE 0 END", 3999 + 250 + 1), ("id % 2", None), ("id", None)):
+        members = linking.laid_out(ids.withColumn("class", F.expr(name).cast("bigint")))
+        rows = linking.dealt(members, 2000)
+        tasks = [r["count"] for r in rows.groupBy("task").count().collect()]
+        assert max(tasks) < 3 * 2000
+        if copies:
+            assert sum(tasks) == copies
+        # Each two items of different classes meet in a unit.
+        if name != "id":
+            met = rows.alias("a").join(rows.alias("b"), ["bucket", "i", "j"]).where("a.class < b.class")
+            n = ids.groupBy(F.expr(name)).count().agg(F.min("count") * F.max("count")).first()[0]
+            assert met.select("a.id", "b.id").distinct().count() == n
