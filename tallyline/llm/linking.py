@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import connected_components
@@ -76,22 +76,58 @@ def _units(compare: Compare):
     return run
 
 
+def laid_out(members: DataFrame) -> DataFrame:
+    """``members`` (``bucket``, ``id``, ``class``) of the buckets that hold several classes, with what they are
+    dealt by: whether a row is of its bucket's largest class (``largest``), and the numbers of blocks of that
+    class and of the rest (``m1``, ``m2``)."""
+    sizes = members.groupBy("bucket", "class").agg(F.count("*").alias("k"))
+    top = sizes.groupBy("bucket").agg(F.max(F.struct("k", "class")).alias("top"), F.sum("k").alias("all"))
+    top = top.where("all > top.k").select(
+        "bucket",
+        F.col("top.class").alias("first"),
+        F.ceil(F.col("top.k") / BLOCK).alias("m1"),
+        F.ceil((F.col("all") - F.col("top.k")) / BLOCK).alias("m2"),
+    )
+    joined = members.join(materialise(top, "layout"), "bucket")
+    return joined.withColumn("largest", F.col("class") == F.col("first")).drop("first")
+
+
+def dealt(members: DataFrame, rows_per_task: int) -> DataFrame:
+    """The rows of ``laid_out`` copied to the units (``bucket``, ``i``, ``j``) that compare them, with their ``task``.
+
+    Items of the largest class meet the rest only, so they are copied once per block of the rest, and a stray
+    item in a large group of copies costs one comparison with each of them. Tasks follow from the rows as
+    copied, so their size is bounded whatever the size of a bucket.
+    """
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("largest"), F.col("m1")).otherwise(F.col("m2")))
+    copies = F.when(F.col("largest"), F.col("m2")).otherwise(F.col("m1") + F.col("m2"))
+    rows = members.agg(F.sum(copies)).first()[0] or 0
+
+    def blocks(m: str, unit: Callable) -> Column:
+        return F.transform(F.sequence(F.lit(0).cast("bigint"), F.col(m) - 1), unit)
+
+    def unit(i: Column, j: Column) -> Column:
+        return F.struct(i.alias("i"), j.alias("j"))
+
+    # Units of the rest with the largest class have a negative ``i``.
+    cut = members.withColumn("own", own)
+    units = F.when(F.col("largest"), blocks("m2", lambda k: unit(-1 - k, F.col("own")))).otherwise(
+        F.concat(
+            blocks("m1", lambda k: unit(-1 - F.col("own"), k)),
+            blocks("m2", lambda k: unit(F.least("own", k), F.greatest("own", k))),
+        )
+    )
+    spread = cut.select("*", F.inline(units)).drop("m1", "m2", "own", "largest", "n")
+    return spread.withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(rows // rows_per_task + 1)))
+
+
 def links_in_buckets(members: DataFrame, compare: Compare, rows_per_task: int) -> DataFrame:
     """Links (``a``, ``b``) that connect what ``compare`` links within the buckets of ``members``.
 
-    ``members`` has ``bucket``, ``id``, ``class`` (items of one class are connected already), ``n`` (rows of the
-    bucket) and what ``compare`` reads. Per task at most one link for each item is returned.
+    ``members`` is ``laid_out`` and has what ``compare`` reads; items of one class are connected already. Per
+    task at most one link for each item is returned.
     """
-    blocks = F.ceil(F.col("n") / BLOCK)
-    cut = members.withColumn("m", blocks).withColumn("own", F.pmod(F.xxhash64("id"), "m"))
-    others = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1),
-        lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")),
-    )
-    spread = cut.select("*", F.inline(others)).drop("m", "own", "n")
-    tasks = members.count() // rows_per_task + 1
-    spread = spread.withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
-    return spread.groupBy("task").applyInArrow(_units(compare), "a bigint, b bigint")
+    return dealt(members, rows_per_task).groupBy("task").applyInArrow(_units(compare), "a bigint, b bigint")
 
 
 def by_leaders(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -111,8 +147,6 @@ def by_leaders(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     links = materialise(verify(pairs).select("a", "b"), "links")
     groups = materialise(connected_components(links), "groups")
     classed = led.join(groups, F.col("id") == F.col("node"), "left").select(
-        "bucket", "id", "n", F.coalesce("component", "id").alias("class")
+        "bucket", "id", F.coalesce("component", "id").alias("class")
     )
-    left = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    open_ = classed.join(left.where("low < high").select("bucket"), "bucket", "left_semi")
-    return links, materialise(open_, "open")
+    return links, materialise(laid_out(classed), "open")
