@@ -20,14 +20,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.textmap import slices, with_text_columns
+from tallyline.llm.textmap import slices
 from tallyline.sources.sinks import materialise
 
 ORDER = 5
 WORD = re.compile(r"[^\W\d_]+")
-# Letter groups rarer than this share of all counted take the shared estimate. So a model has at most
-# 1 / RARE rows, which bounds what is sent to the tasks.
-RARE = 1e-6
 FOLDS = 5
 # Of the training folds this one fits the curve and the others the models.
 CURVE_FOLD = 4
@@ -37,7 +34,8 @@ CURVE_DOCUMENTS = 20_000
 # and the small differences of many of them would hide a few words that matter.
 EVEN = 2.5
 TASK_GROUPS = 500_000
-CACHED_WORDS = 300_000
+# Most frequent words, whose scores are sent to the tasks; all others are joined.
+SENT_WORDS = 100_000
 
 
 def fold(key: str) -> Column:
@@ -108,73 +106,100 @@ def _discount(counts) -> float:
     return min(0.95, max(0.1, seen[1] / (seen[1] + 2 * seen[2]))) if seen[1] else 0.75
 
 
+def _discount_of(counts: DataFrame, *columns: str) -> list[float]:
+    wanted = [F.sum((F.col(c) == n).cast("bigint")) for c in columns for n in (1, 2)]
+    seen = [n or 0 for n in counts.agg(*wanted).first()]
+    return [
+        min(0.95, max(0.1, one / (one + 2 * two))) if one else 0.75 for one, two in zip(seen[::2], seen[1::2])
+    ]
+
+
+def _ending(gram: str) -> Column:
+    return F.expr(f"substring({gram}, 2)")
+
+
+def _context(gram: str) -> Column:
+    return F.expr(f"left({gram}, char_length({gram}) - 1)")
+
+
+def shared_estimates(grams: DataFrame) -> DataFrame:
+    """``_shared`` of the letter groups in ``grams`` as a table (``gram`` of ``ORDER`` - 1 letters, ``p``)."""
+    levels, longer = [], grams
+    for _ in range(ORDER - 1):
+        longer = materialise(longer.groupBy(_ending("gram").alias("gram")).agg(F.count("*").alias("n")), "endings")
+        levels.append(longer)
+    total = levels[-1].agg(F.sum("n")).first()[0] or 1
+    lower = levels[-1].select("gram", (F.col("n") / total).alias("p"))
+    for counted in reversed(levels[:-1]):
+        discount = _discount_of(counted, "n")[0]
+        counted = counted.withColumn("context", _context("gram")).withColumn("ending", _ending("gram"))
+        sums = counted.groupBy("context").agg(F.sum("n").alias("sum"), F.count("*").alias("kinds"))
+        rest = discount * F.col("kinds") * F.col("p")
+        p = (F.greatest(F.col("n") - discount, F.lit(0.0)) + rest) / F.col("sum")
+        joined = counted.join(sums, "context").join(lower.withColumnRenamed("gram", "ending"), "ending")
+        lower = materialise(joined.select("gram", p.alias("p")), "shared")
+    return lower
+
+
 @dataclass
 class Model:
-    """Log-likelihood ratios (toxic to ordinary) of letter groups, and of unseen letters after a context."""
+    """Log-likelihood ratios (toxic to ordinary) of letter groups, and of unseen letters after a context.
 
-    groups: dict[str, float]
-    contexts: dict[str, float]
+    Both are tables (``gram``, ``ratio``) that grow with what was counted.
+    """
+
+    groups: DataFrame
+    contexts: DataFrame
     slope: float = 10.0
     intercept: float = 0.0
 
+    def words(self, words: DataFrame) -> DataFrame:
+        """``word`` and ``ratio`` of different words: their log-likelihood ratio, what lies within ``EVEN`` taken off."""
+        letters = words.select("word").mapInArrow(_letters, "word string, gram string")
+        letters = materialise(letters, "letters")
+        # A context is looked up once per letter group, so the one that all words begin with is no hot key.
+        found = letters.select("gram").distinct().withColumn("context", _context("gram"))
+        contexts = self.contexts.select(F.col("gram").alias("context"), F.col("ratio").alias("other"))
+        found = found.join(self.groups, "gram", "left").join(contexts, "context", "left")
+        found = found.select("gram", F.coalesce("ratio", "other", F.lit(0.0)).alias("ratio"))
+        sums = letters.join(found, "gram").groupBy("word").agg(F.sum("ratio").alias("sum"))
+        ratio = F.signum("sum") * F.greatest(F.abs("sum") - EVEN, F.lit(0.0))
+        return sums.select("word", ratio.alias("ratio"))
+
     def word(self, word: str) -> float:
-        """Log-likelihood ratio of a word, what lies within ``EVEN`` taken off."""
-        groups, contexts = self.groups, self.contexts
-        ratio = sum(groups[g] if g in groups else contexts.get(g[:-1], 0.0) for g in letter_groups(word))
-        return math.copysign(max(abs(ratio) - EVEN, 0.0), ratio)
-
-    def ratios(self, texts: list[str | None]) -> list[float]:
-        """Difference of the log-likelihoods per word; 0 for texts without words."""
-        known = _Words(self)
-        return [sum(map(known.__getitem__, w)) / len(w) if w else 0.0 for w in map(words_of, texts)]
-
-    def score(self, ratio: float) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * ratio + self.intercept))))
-
-
-class _Words(dict):
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
-
-    def __missing__(self, word: str) -> float:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = value = self.model.word(word)
-        return value
-
-
-def estimate(counts: list[tuple[str, int, int]]) -> Model:
-    """The two models from counts (letter group, ordinary, toxic)."""
-    if not counts:
-        return Model({}, {})
-    shared = _shared({g for g, _, _ in counts})
-    discounts = [_discount(c[k] for c in counts if c[k]) for k in (1, 2)]
-    sums: tuple[Counter, Counter] = (Counter(), Counter())
-    kinds: tuple[Counter, Counter] = (Counter(), Counter())
-    for group, *n in counts:
-        for k in (0, 1):
-            if n[k]:
-                sums[k][group[:-1]] += n[k]
-                kinds[k][group[:-1]] += 1
-    contexts = {}
-    for context in sums[0].keys() | sums[1].keys():
-        rest = [
-            math.log(discounts[k] * kinds[k][context] / sums[k][context]) if sums[k][context] else 0.0
-            for k in (0, 1)
-        ]
-        contexts[context] = rest[1] - rest[0]
-    groups = {}
-    for group, *n in counts:
-        context, lower = group[:-1], shared[group[1:]]
-        logs = [
-            math.log((max(n[k] - discounts[k], 0) + discounts[k] * kinds[k][context] * lower) / sums[k][context])
-            if sums[k][context]
-            else math.log(lower)
-            for k in (0, 1)
-        ]
-        groups[group] = logs[1] - logs[0]
-    return Model(groups, contexts)
+        spark = self.groups.sparkSession
+        return self.words(spark.createDataFrame([(word,)], "word string")).first()["ratio"]
+
+    def score(self, ratio: Column) -> Column:
+        x = F.greatest(F.lit(-500.0), F.least(F.lit(500.0), self.slope * ratio + self.intercept))
+        return 1 / (1 + F.exp(-x))
+
+
+def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        grams = [(word, gram) for word in batch.column("word").to_pylist() for gram in letter_groups(word)]
+        columns = [pa.array([g[i] for g in grams], pa.string()) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays(columns, names=["word", "gram"])
+
+
+def estimate(grams: DataFrame) -> Model:
+    """The two models from all counts (``gram``, ``n0`` ordinary, ``n1`` toxic)."""
+    shared = shared_estimates(grams).select(F.col("gram").alias("ending"), "p")
+    discounts = _discount_of(grams, "n0", "n1")
+    grams = grams.withColumn("context", _context("gram")).withColumn("ending", _ending("gram"))
+    each = [F.sum(f"n{k}").alias(f"sum{k}") for k in (0, 1)]
+    each += [F.sum((F.col(f"n{k}") > 0).cast("bigint")).alias(f"kinds{k}") for k in (0, 1)]
+    sums = materialise(grams.groupBy("context").agg(*each), "contexts")
+    n, total, kinds = ([F.col(f"{c}{k}") for k in (0, 1)] for c in ("n", "sum", "kinds"))
+    rest = [F.when(total[k] > 0, F.log(discounts[k] * kinds[k] / total[k])).otherwise(0.0) for k in (0, 1)]
+    contexts = sums.select(F.col("context").alias("gram"), (rest[1] - rest[0]).alias("ratio"))
+    logs = []
+    for k in (0, 1):
+        own = F.greatest(n[k] - discounts[k], F.lit(0.0)) + discounts[k] * kinds[k] * F.col("p")
+        logs.append(F.when(total[k] > 0, F.log(own / total[k])).otherwise(F.log("p")))
+    joined = grams.join(sums, "context").join(shared, "ending")
+    groups = materialise(joined.select("gram", (logs[1] - logs[0]).alias("ratio")), "ratios")
+    return Model(groups, materialise(contexts, "context-ratios"))
 
 
 def fit_curve(ratios: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -210,13 +235,14 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counted = labelled.where(F.col("fold") != CURVE_FOLD).select("text", "toxic")
     grams = counted.mapInArrow(_count, "gram string, n0 bigint, n1 bigint").groupBy("gram")
     grams = materialise(grams.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "grams")
-    total = grams.agg(F.sum(F.col("n0") + F.col("n1"))).first()[0] or 0
-    table = grams.where(F.col("n0") + F.col("n1") >= RARE * total).toArrow()
-    model = estimate(list(zip(*(table.column(c).to_pylist() for c in ("gram", "n0", "n1")))))
+    model = estimate(grams)
     curve = labelled.where(F.col("fold") == CURVE_FOLD)
     share = min(1.0, CURVE_DOCUMENTS / max(1, curve.count()))
     drawn = curve.where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000).select("text", "toxic")
-    seen = _with_ratio(drawn, model, "text").select("ratio", "toxic").toArrow()
+    drawn = drawn.withColumn("digest", _digest("text"))
+    ratios = text_ratios(drawn, model, "text")
+    seen = drawn.select("digest", "toxic").join(ratios, "digest", "left")
+    seen = seen.select(F.coalesce("ratio", F.lit(0.0)).alias("ratio"), "toxic").toArrow()
     if seen.num_rows:
         model.slope, model.intercept = fit_curve(
             seen.column("ratio").to_numpy(), seen.column("toxic").to_numpy().astype(np.float64)
@@ -224,9 +250,60 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return model
 
 
-def _with_ratio(df: DataFrame, model: Model, text: str) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    return with_text_columns(df, text, "ratio double", lambda: lambda texts: [sent.value.ratios(texts)])
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.col(text)))
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to their words and how often they occur."""
+
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array(counted.keys(), pa.string()), pa.array(counted.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+
+    counted = Counter()
+    for part in slices(batches, "text"):
+        for text in part.column("text").to_pylist():
+            counted.update(words_of(text))
+        if len(counted) > TASK_GROUPS:
+            yield batch()
+            counted = Counter()
+    yield batch()
+
+
+def text_ratios(df: DataFrame, model: Model, text: str) -> DataFrame:
+    """``digest`` and ``ratio`` of the different texts that have words: the difference of the log-likelihoods per word.
+
+    Rows of one text add alike to its sum and to its number of words.
+    """
+    texts = df.select(F.col(text).alias("text"))
+    words = texts.mapInArrow(_distinct_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    words = materialise(words, "words")
+    scored = materialise(model.words(words), "word-ratios")
+    frequent = words.orderBy(F.desc("n"), "word").limit(SENT_WORDS)
+    sent = scored.join(frequent.hint("merge"), "word").select("word", "ratio").toArrow()
+    sent = df.sparkSession.sparkContext.broadcast(dict(zip(*(sent.column(c).to_pylist() for c in ("word", "ratio")))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for part in slices(batches, "text"):
+            found = [words_of(t) for t in part.column("text").to_pylist()]
+            columns = [
+                part.column("digest"),
+                pa.array(map(len, found), pa.int64()),
+                pa.array([sum(known[w] for w in ws if w in known) for ws in found], pa.float64()),
+                pa.array([[w for w in ws if w not in known] for ws in found], pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "part", "others"])
+
+    read = df.select(_digest(text).alias("digest"), F.col(text).alias("text"))
+    parts = read.mapInArrow(run, "digest binary, n bigint, part double, others array<string>")
+    parts = materialise(parts.where("n > 0"), "parts")
+    # What a row has of words that were sent, and what its other words add, are summed per text.
+    others = parts.select("digest", F.explode("others").alias("word")).groupBy("digest", "word").agg(F.count("*").alias("k"))
+    others = others.join(scored, "word").select("digest", F.lit(0).cast("bigint").alias("n"), (F.col("k") * F.col("ratio")).alias("part"))
+    each = parts.select("digest", "n", "part").union(others)
+    return each.groupBy("digest").agg((F.sum("part") / F.sum("n")).alias("ratio"))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
@@ -235,9 +312,9 @@ def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") ->
     Null and empty texts and texts without letters get the score of an even comparison; repeated rows score
     alike; an existing column named ``to`` is replaced.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        return lambda texts: [[sent.value.score(r) for r in sent.value.ratios(texts)]]
-
-    return with_text_columns(df, text, f"`{to}` double", make)
+    ratios = materialise(text_ratios(df, model, text), "text-ratios").withColumnRenamed("digest", "__digest")
+    ratios = ratios.withColumnRenamed("ratio", "__ratio")
+    joined = df.drop(to).withColumn("__of", _digest(text))
+    joined = joined.join(ratios.hint("merge"), F.col("__of") == F.col("__digest"), "left")
+    scored = model.score(F.coalesce("__ratio", F.lit(0.0)))
+    return joined.withColumn(to, scored).drop("__of", "__digest", "__ratio")

@@ -94,3 +94,25 @@ def test_held_out_documents_are_told_apart(spark):
     wrong = [r["predicted"] for r in held if labels[r["doc_id"]] == 0]
     # A third of the toxic documents there carry no word that occurs in another one.
     assert sum(found) > 0.5 * len(found) and sum(wrong) < 0.02 * len(wrong)
+
+
+def test_tables_give_the_shared_estimate(spark):
+    words = ("idea", "ideal", "idle", "tide", "side", "über", "ideas")
+    groups = sorted({g for w in words for g in toxicity.letter_groups(w)})
+    table = toxicity.shared_estimates(spark.createDataFrame([(g,) for g in groups], "gram string"))
+    assert {r["gram"]: r["p"] for r in table.collect()} == pytest.approx(toxicity._shared(set(groups)))
+
+
+def test_a_group_counted_once_among_millions_counts(spark):
+    rows = [(g, 3_000_000, 0) for g in toxicity.letter_groups("river")]
+    rows += [(g, 0, 1) for g in toxicity.letter_groups("grobnak")]
+    model = toxicity.estimate(spark.createDataFrame(rows, "gram string, n0 bigint, n1 bigint"))
+    assert model.groups.count() == len(rows)
+    assert model.word("grobnak") > 1
+
+
+def test_words_not_sent_are_joined(documents, model, monkeypatch):
+    df = documents("the quiet river grobnet", "you grobnet grobnet", "you grobnet grobnet", "old trees")
+    whole = [r["score"] for r in toxicity.score(df, model).orderBy("doc_id").collect()]
+    monkeypatch.setattr(toxicity, "SENT_WORDS", 1)
+    assert [r["score"] for r in toxicity.score(df, model).orderBy("doc_id").collect()] == pytest.approx(whole)
