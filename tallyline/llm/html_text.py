@@ -1,9 +1,10 @@
 """Main text of web pages by tag-path ratios.
 
 Each block of a page has a path of labels from the root to its element. Text length and punctuation are summed
-per path and divided by the number of blocks on it; the ratios are smoothed over the content container that
-paths share, fused into one score, and blocks on paths above a threshold are kept. An element that is no
-content by its kind, name or role (menus, forms, adverts, comments and the like) weighs nothing in the fusion.
+per path and divided by the number of blocks on it, and fused into one score per block. The scores choose the
+content node of a page without a content container; every block inside the container or node is kept, headings
+and list items too, unless it stands in an element that is no content by its kind, name or role (menus, forms,
+adverts, comments and the like).
 """
 
 from __future__ import annotations
@@ -63,8 +64,12 @@ NO_CONTENT_NAMES = frozenset(
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
-# Share of the page's mean score that a path needs.
-THRESHOLD = 0.2
+# Elements that can hold an article.
+SECTIONS = frozenset(("div", "section", "article", "main"))
+# Share of the page's undropped text that its articles need, and that an element named as content has to exceed.
+LEAST_HELD, MOST_HELD = 0.2, 0.5
+# Share of its parent's score from which an element is the content node.
+THRESHOLD = 0.8
 
 
 @dataclass(slots=True)
@@ -72,8 +77,10 @@ class Element:
     tag: str
     label: str
     dropped: bool
-    container: str | None
+    content: bool
+    named: bool
     path: str
+    parent: Element | None
 
 
 def _names(value: str) -> set[str]:
@@ -94,10 +101,18 @@ def _element(tag: str, attributes: str, parent: Element | None) -> Element:
     )
     label = f"{tag}.{named}" if named else tag
     path = f"{parent.path}/{label}" if parent else label
-    container = parent.container if parent else None
-    if tag in CONTAINERS or role == "main" or (container is None and names & CONTENT_NAMES):
-        container = path
-    return Element(tag, label, dropped, container, path)
+    content = tag in CONTAINERS or (role == "main" and tag in SECTIONS)
+    return Element(tag, label, dropped, content, tag in SECTIONS and bool(names & CONTENT_NAMES), path, parent)
+
+
+def _sections(element: Element | None) -> list[Element]:
+    """The element and those around it that can hold an article, outermost first."""
+    found = []
+    while element:
+        if element.tag in SECTIONS:
+            found.append(element)
+        element = element.parent
+    return found[::-1]
 
 
 def _blocks(page: str) -> list[tuple[Element | None, str]]:
@@ -173,43 +188,48 @@ def _blocks(page: str) -> list[tuple[Element | None, str]]:
 
 def main_text(page: str | None) -> str:
     """Kept blocks of ``page``, joined by line breaks."""
-    blocks = _blocks(page or "")
-    length: dict[str, int] = defaultdict(int)
-    marks: dict[str, int] = defaultdict(int)
-    count: dict[str, int] = defaultdict(int)
-    weight: dict[str, float] = {}
-    container: dict[str, str | None] = {}
+    blocks = [(e, text) for e, text in _blocks(page or "") if not (e and e.dropped)]
+    around = {id(e): _sections(e) for e, _ in blocks}
+    total = sum(len(text) for _, text in blocks)
+
+    def joined(kept: list[tuple[Element | None, str]]) -> str:
+        return "\n".join(text for _, text in kept)
+
+    # Articles hold the text and what stands outside them does not count, unless they are mere notes beside it.
+    held = [b for b in blocks if any(s.content for s in around[id(b[0])])]
+    if held and sum(len(text) for _, text in held) >= LEAST_HELD * total:
+        return joined(held)
+    length: dict[int, int] = defaultdict(int)
+    named: dict[int, None] = {}
+    for element, text in blocks:
+        for section in around[id(element)]:
+            length[id(section)] += len(text)
+            if section.named:
+                named[id(section)] = None
+    # The outermost comes first, so a title above the part named as content stays.
+    for node in named:
+        if length[node] > MOST_HELD * total:
+            return joined([b for b in blocks if any(id(s) == node for s in around[id(b[0])])])
+    # Ratios by path: text length times punctuation, both a block.
+    sizes: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
     for element, text in blocks:
-        path = element.path if element else ""
-        length[path] += len(text)
-        marks[path] += len(PUNCTUATION.findall(text))
-        count[path] += 1
-        weight[path] = 0.0 if element and element.dropped else 1.0
-        container[path] = element.container if element else None
-
-    def smoothed(total: dict[str, int]) -> dict[str, float]:
-        own = {path: total[path] / count[path] for path in count}
-        shared: dict[str | None, list[float]] = defaultdict(lambda: [0.0, 0.0])
-        for path in count:
-            if weight[path] and container[path]:
-                shared[container[path]][0] += total[path]
-                shared[container[path]][1] += count[path]
-        return {
-            path: max(ratio, shared[container[path]][0] / max(shared[container[path]][1], 1.0))
-            if container[path]
-            else ratio
-            for path, ratio in own.items()
-        }
-
-    texts, punctuation = smoothed(length), smoothed(marks)
-    score = {path: weight[path] * texts[path] * (1 + punctuation[path]) for path in count}
-    # Where a page has content containers, they hold the article and text outside them is not weighed against it.
-    held = {path for path in count if score[path] > 0 and container[path]}
-    rated = held or {path for path in count if score[path] > 0}
-    total = sum(length[path] for path in rated)
-    mean = sum(score[path] * length[path] for path in rated) / total if total else 0.0
-    kept = {path for path in rated if score[path] >= THRESHOLD * mean}
-    return "\n".join(text for element, text in blocks if (element.path if element else "") in kept)
+        path = sizes[element.path if element else ""]
+        path[0] += len(text)
+        path[1] += len(PUNCTUATION.findall(text))
+        path[2] += 1
+    score = {path: n / k * (1 + marks / k) for path, (n, marks, k) in sizes.items()}
+    weight: dict[int, float] = defaultdict(float)
+    for element, _ in blocks:
+        for section in around[id(element)]:
+            weight[id(section)] += score[element.path]
+    depth, best = 0, sum(score[e.path if e else ""] for e, _ in blocks)
+    while True:
+        inside = [b for b in blocks if len(around[id(b[0])]) > depth]
+        top = max((id(around[id(e)][depth]) for e, _ in inside), key=weight.__getitem__, default=None)
+        if top is None or weight[top] < THRESHOLD * best:
+            return joined(blocks)
+        blocks = [b for b in inside if id(around[id(b[0])][depth]) == top]
+        depth, best = depth + 1, weight[top]
 
 
 def extract_text(df: DataFrame, page: str = "html", text: str = "text") -> DataFrame:

@@ -38,6 +38,24 @@ def test_article_wins_over_loose_text():
     assert main_text(page) == "T\nShort."
 
 
+def test_lists_and_headings_beside_paragraphs_stay():
+    paragraph, item = "Some words, here. " * 33, "A short item of a list in the article"
+    page = "<article>" + f"<p>{paragraph}</p>" * 10 + "<ul>" + f"<li>{item}</li>" * 30 + "</ul></article>"
+    assert main_text(page).count(item) == 30
+    for tag in ("article", "div", "body"):
+        page = f"<{tag}><h1>Title</h1><h2>Part</h2><p>" + "Many words, in all. " * 100 + f"</p></{tag}>"
+        assert main_text(page).startswith("Title\nPart\nMany words")
+
+
+def test_containers_are_sections_that_hold_most_of_the_text():
+    body = "<h1>Title</h1>" + "<p>A long paragraph, with text. And more, of it.</p>" * 20
+    page = f'<body><p class="post-date">By A, today.</p><div class="story-link">See, also.</div><div>{body}</div></body>'
+    assert main_text(page).startswith("By A") or main_text(page).startswith("Title")
+    assert main_text(page).count("A long paragraph") == 20
+    assert main_text(f"<article>A card.</article><div>{body}</div>").count("A long paragraph") == 20
+    assert main_text(f"<div><div>Home</div><div>{body}</div><div>Imprint</div></div>").startswith("Title")
+
+
 def test_very_long_and_deep_pages():
     page = "<article>" + "<p>Word, word.</p>" * 20000 + "</article>"
     assert main_text(page).count("\n") == 19999
