@@ -263,12 +263,12 @@ def test_alike_is_edit_similarity():
 def test_tasks_are_bounded_with_one_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(linking, "BLOCK", 16)
     # All but one of a bucket are connected already: one comparison each. Then none of them are.
-    ids = spark.range(4000).select(F.lit(1).cast("bigint").alias("bucket"), "id")
-    for name, copies in (("CASE WHEN id = 7 THEN 1 ELSE 0 END", 3999 + 250 + 1), ("id % 2", None), ("id", None)):
+    ids = spark.range(400).select(F.lit(1).cast("bigint").alias("bucket"), "id")
+    for name, copies in (("CASE WHEN id = 7 THEN 1 ELSE 0 END", 399 + 25 + 1), ("id % 2", None), ("id", None)):
         members = linking.laid_out(ids.withColumn("class", F.expr(name).cast("bigint")))
-        rows = linking.dealt(members, 2000)
+        rows = linking.dealt(members, 200)
         tasks = [r["count"] for r in rows.groupBy("task").count().collect()]
-        assert max(tasks) < 3 * 2000
+        assert max(tasks) < 3 * 200
         if copies:
             assert sum(tasks) == copies
         # Each two items of different classes meet in a unit.
