@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import bpe, embedding_dedup, fingerprint, html_text, line_dedup, minhash_dedup, mixing, secrets, token_counts, toxicity
+from tallyline.llm import (
+    bpe,
+    embedding_dedup,
+    fingerprint,
+    html_text,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    prefix_trie,
+    secrets,
+    token_counts,
+    toxicity,
+)
 from tallyline.sources.sinks import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +149,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def with_package(query: Query) -> Query:
     """``query``, with this package on the path of the Python workers wherever the driver was started."""
 
@@ -163,6 +179,7 @@ QUERIES: dict[str, Query] = {
         op8_html_text,
         op9_mixing,
         op10_secrets,
+        op12_prefix_trie,
     )
 }
 
