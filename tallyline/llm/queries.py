@@ -13,6 +13,7 @@ from tallyline.llm import (
     bpe,
     embedding_dedup,
     fingerprint,
+    hard_negatives,
     html_text,
     line_dedup,
     minhash_dedup,
@@ -153,6 +154,22 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row are moved on by one, and components are whole 256ths."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite)
+    moved = (F.col("label") + 1) % 10
+    return hard_negatives.hard_negatives(
+        rows.select(
+            "vec_id",
+            F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label")).alias("label"),
+            F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"),
+            (F.col("vec_id") % 100 == 0).alias("anchor"),
+        )
+    )
+
+
 def with_package(query: Query) -> Query:
     """``query``, with this package on the path of the Python workers wherever the driver was started."""
 
@@ -180,6 +197,7 @@ QUERIES: dict[str, Query] = {
         op9_mixing,
         op10_secrets,
         op12_prefix_trie,
+        op13_hard_negatives,
     )
 }
 
