@@ -19,6 +19,7 @@ from tallyline.llm import (
     minhash_dedup,
     mixing,
     prefix_trie,
+    rank_bpe,
     secrets,
     token_counts,
     toxicity,
@@ -150,6 +151,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return rank_bpe.encode(docs, ranks, decoded="decoded").select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -196,6 +208,7 @@ QUERIES: dict[str, Query] = {
         op8_html_text,
         op9_mixing,
         op10_secrets,
+        op11_rank_bpe,
         op12_prefix_trie,
         op13_hard_negatives,
     )
