@@ -8,10 +8,8 @@ merge the leftmost pair of the lowest rank first and give the same ids.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
-import re
 from collections import defaultdict
 from collections.abc import Iterable
 from functools import lru_cache
@@ -24,18 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.textmap import with_text_columns
-
-# Fixed value: the pattern that splits text into words before the merges of byte-level vocabularies.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-# The same for texts of ASCII and Latin letters only, which the standard library splits faster.
-LATIN = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u01bf"
-LATIN_TEXT = re.compile(rf"[\t\n\r -~{LATIN}\xa1-\xb1\xb4\xb6-\xb8\xbb\xbf\xd7\xf7]*")
-LATIN_WORD = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
+from tallyline.llm.word_split import split_words, tokenizers_class
 
 SHORT = 64
 # Distinct words whose ids a worker keeps; past it the store starts anew.
 CACHED_WORDS = 500_000
+# Bytes of these words and their ids, about; past them it starts anew as well.
+CACHED_BYTES = 64 << 20
+ENTRY_BYTES = 200
 # Words merged side by side.
 AT_ONCE = 8192
 NONE = 1 << 60
@@ -72,15 +66,18 @@ class Vocabulary(dict):
         self.bytes_of |= {i: token.encode() for token, i in self.special.items()}
         names = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
+        self.kept_bytes = 0
 
     def learn(self, words: set[str]) -> None:
         """Store the ids of ``words``, all at once: words of the same number of bytes are merged side by side."""
-        if len(self) + len(words) > CACHED_WORDS:
+        if len(self) + len(words) > CACHED_WORDS or self.kept_bytes > CACHED_BYTES:
             self.clear()
+            self.kept_bytes = 0
         by_length: dict[int, list[tuple[str, bytes]]] = defaultdict(list)
         for word in words - self.keys():
             raw = word.encode()
             by_length[len(raw)].append((word, raw))
+            self.kept_bytes += ENTRY_BYTES + 5 * len(raw)
         for length, group in by_length.items():
             for start in range(0, len(group), AT_ONCE):
                 chunk = group[start : start + AT_ONCE]
@@ -150,13 +147,12 @@ class Vocabulary(dict):
 
     def pieces(self, text: str) -> list[str]:
         """The words of a text, and the special tokens' strings in it, in order."""
-        find = (LATIN_WORD if LATIN_TEXT.fullmatch(text) else WORD).findall
         if not any(name in text for name in self.special):
-            return find(text)
+            return split_words(text, tokenizers_class)
         return [
             word
             for piece in self.split.split(text)
-            for word in ((piece,) if piece in self.special else find(piece))
+            for word in ((piece,) if piece in self.special else split_words(piece, tokenizers_class))
         ]
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
@@ -174,13 +170,25 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame,
+    vocabulary: str,
+    text: str = "text",
+    ids: str = "ids",
+    raw: str | None = None,
+    decoded: str | None = None,
+) -> DataFrame:
     """``df`` with the token ids of its texts in a column ``ids`` (array of int).
 
-    The strings of special tokens inside a text become their ids. A null text counts as empty and gets an
-    empty list. Repeated rows are encoded alike, and an existing column named ``ids`` is replaced.
-    ``vocabulary`` is the path of the vocabulary file, which every executor must be able to open.
+    With ``raw``, a column of that name gets the ids as little-endian unsigned 32-bit integers (binary), and with
+    ``decoded`` one gets the text that they stand for, decoded in the same task. The strings of special tokens inside
+    a text become their ids. A null text counts as empty and gets an empty list; a text of any length is encoded
+    whole. Repeated rows are encoded alike, an empty table gives an empty one, and existing columns of these names are
+    replaced. ``vocabulary`` is the path of the vocabulary file, which every executor must be able to open.
     """
+    schema = f"`{ids}` array<int>"
+    schema += f", `{raw}` binary" if raw else ""
+    schema += f", `{decoded}` string" if decoded else ""
 
     def make():
         vocab = load(vocabulary)
@@ -189,18 +197,23 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids")
             encoded = vocab.encode(t or "" for t in texts)
             ends = np.cumsum([0, *(len(e) // 4 for e in encoded)], dtype=np.int32)
             flat = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
-            return [pa.ListArray.from_arrays(ends, pa.array(flat)).cast(pa.list_(pa.int32()))]
+            columns = [pa.ListArray.from_arrays(ends, pa.array(flat)).cast(pa.list_(pa.int32()))]
+            if raw:
+                columns.append(pa.array(encoded, pa.binary()))
+            if decoded:
+                columns.append(pa.array([vocab.decode(np.frombuffer(e, "<u4")) for e in encoded], pa.string()))
+            return columns
 
         return encode_all
 
-    return with_text_columns(df, text, f"`{ids}` array<int>", make)
+    return with_text_columns(df, text, schema, make)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of its token ids in a column ``text``.
 
     Bytes that are no UTF-8 become U+FFFD; null ids give an empty text; an id outside the vocabulary is an
-    error. An existing column named ``text`` is replaced.
+    error. An empty table gives an empty one. An existing column named ``text`` is replaced.
     """
 
     @F.pandas_udf("string")
@@ -209,12 +222,3 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
         return column.map(lambda x: "" if x is None else vocab.decode(np.asarray(x)))
 
     return df.withColumn(text, decoded(ids))
-
-
-def ids_digest(ids: str = "ids"):
-    """SHA-256 (lower-case hex) of ids written as little-endian unsigned 32-bit integers."""
-    @F.pandas_udf("string")
-    def digest(column: pd.Series) -> pd.Series:
-        return column.map(lambda x: hashlib.sha256(np.asarray(() if x is None else x, "<u4").tobytes()).hexdigest())
-
-    return digest(ids)

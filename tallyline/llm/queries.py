@@ -36,11 +36,11 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = bpe.encode(documents(spark, sf_dir, "doc_id", "text"), vocabulary).drop("text")
-    return bpe.decode(encoded, vocabulary).select(
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return bpe.encode(docs, vocabulary, raw="raw", decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_digest().alias("ids_sha256"),
+        F.sha2("raw", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

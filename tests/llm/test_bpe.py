@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -41,6 +42,15 @@ def test_ids_and_texts_are_the_librarys():
         assert vocabulary.decode(ids) == LIBRARY.decode(ids.tolist(), skip_special_tokens=False)
 
 
+def test_all_planes():
+    """Code points of every plane, assigned or not, beside letters, numbers and marks."""
+    rnd = random.Random(5)
+    pool = [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]
+    texts = ["".join(rnd.choice([chr(rnd.choice(pool)), "a", "1", "'m", " ", "!"]) for _ in range(12)) for _ in range(6000)]
+    for text, ids in zip(texts, bpe.Vocabulary(PATH).encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 def test_short_and_long_merging_agree():
     vocabulary = bpe.Vocabulary(PATH)
     for word in ("thereafter", "aaaaaaaaaaaaaaaaaaaaaaa", "ééééé", " internationalisation", "xyxyxyxyxyx"):
