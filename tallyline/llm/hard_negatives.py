@@ -14,6 +14,7 @@ The levels below are built where a block of a cell's candidates is searched, one
 from __future__ import annotations
 
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,13 +63,12 @@ def bounds(cosines: np.ndarray, radii: np.ndarray, scale: float) -> tuple[np.nda
     return low * scale, high * scale
 
 
-def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers."""
-    largest = float(np.abs(vectors.astype(np.float64)).max(initial=0)) * float(np.abs(query.astype(np.float64)).sum())
-    if largest < 2**53:
-        return (vectors.astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
-    exact = vectors.astype(object) @ query.astype(object)
-    return np.clip(exact, *LONG).astype(np.int64)
+def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers, each query with each vector."""
+    q, v = queries.astype(np.float64), vectors.astype(np.float64)
+    if np.abs(v).max(initial=0) * np.abs(q).sum(1).max(initial=0) < 2**53:
+        return (q @ v.T).astype(np.int64)
+    return np.clip(queries.astype(object) @ vectors.astype(object).T, *LONG).astype(np.int64)
 
 
 class CoverTree:
@@ -133,45 +133,68 @@ class Candidates:
             self.trees[label] = CoverTree(self.points, self.rows[label])
         return self.trees[label]
 
-    def search(self, query: np.ndarray, windows: list[dict], wanted: int, label: int, same: bool, skip: int) -> list[list]:
-        """Per window the first ``wanted`` of its candidates, as (-score, id), by descending score and ascending id.
+    def search(
+        self, queries: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: int, labels: np.ndarray, same: bool
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Candidates in the score windows of the anchors: number of the anchor, of its window, row and score.
 
-        Candidates have the anchor's label, or all have others; the row ``skip`` is left out.
+        All that can be among an anchor's first ``wanted`` of a window are returned, and some more. ``low`` and
+        ``high`` have a row per anchor and a column per window. Candidates have the anchor's label, or with
+        ``same`` unset all have others. The node of the best bound is opened for all anchors that it may serve at
+        once; what these have found by then closes later ones.
         """
-        found: list[list] = [[] for _ in windows]
-        need = np.array([w["low"] for w in windows], np.float64)
-        most = np.array([w["high"] for w in windows], np.float64)
-        size = float(np.sqrt((query.astype(np.float64) ** 2).sum()))
-        toward = np.append(query.astype(np.float64), 0.0) / max(size, 1e-300)
-        scale = size * self.length
+        size = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
+        toward = np.column_stack([queries / np.maximum(size, 1e-300)[:, None], np.zeros(len(queries))])
+        need = low.astype(np.float64)
+        top = np.full((*low.shape, wanted), -np.inf)
+        hits: list[tuple[np.ndarray, ...]] = []
         heap: list[tuple] = []
-
-        def push(name: int, tree: CoverTree, nodes: np.ndarray) -> None:
-            low, high = bounds(tree.centers[nodes] @ toward, tree.radii[nodes], scale)
-            inside = ((high[:, None] >= need) & (low[:, None] <= most)).any(axis=1)
-            for node, best in zip(nodes[inside].tolist(), high[inside].tolist()):
-                heapq.heappush(heap, (-best, name, node))
+        pushed = 0
+
+        def allowed(who: np.ndarray, worst: np.ndarray, best: np.ndarray) -> np.ndarray:
+            return ((best[..., None] >= need[who]) & (worst[..., None] <= high[who])).any(axis=-1)
+
+        def push(name: int, nodes: np.ndarray, who: np.ndarray) -> None:
+            nonlocal pushed
+            tree = self.tree(name)
+            scale = (size[who] * self.length)[:, None]
+            worst, best = bounds(toward[who] @ tree.centers[nodes].T, tree.radii[nodes], scale)
+            for k, node in enumerate(nodes.tolist()):
+                mine = allowed(who, worst[:, k], best[:, k])
+                if mine.any():
+                    pushed += 1
+                    entry = (name, node, who[mine], worst[mine, k], best[mine, k])
+                    heapq.heappush(heap, (-best[mine, k].max(), pushed, entry))
 
         for name in self.rows:
-            if (name == label) == same:
-                push(name, self.tree(name), np.zeros(1, np.int64))
-        while heap and -heap[0][0] >= need.min():
-            _, name, node = heapq.heappop(heap)
-            tree = self.trees[name]
+            who = np.flatnonzero((labels == name) == same)
+            if len(who):
+                push(name, np.zeros(1, np.int64), who)
+        while heap:
+            name, node, who, worst, best = heapq.heappop(heap)[2]
+            who = who[allowed(who, worst, best)]
+            if not len(who):
+                continue
+            tree = self.tree(name)
             if tree.children[node] is not None:
-                push(name, tree, tree.children[node])
+                push(name, tree.children[node], who)
                 continue
             rows = tree.members[node]
-            scores = products(self.vectors[rows], query)
-            for w, window in enumerate(windows):
-                inside = (scores >= window["low"]) & (scores <= window["high"]) & (scores >= need[w])
-                if inside.any():
-                    for row, score in zip(rows[inside].tolist(), scores[inside].tolist()):
-                        found[w] += [(-score, i) for i in self.ids[row] if i != skip]
-                    found[w] = sorted(found[w])[:wanted]
-                    if len(found[w]) == wanted:
-                        need[w] = max(need[w], -found[w][-1][0])
-        return found
+            scores = products(queries[who], self.vectors[rows])
+            each = scores[:, None, :]
+            inside = (each >= low[who][..., None]) & (each <= high[who][..., None]) & (each >= need[who][..., None])
+            found = inside.any(axis=(1, 2))
+            who, inside, scores = who[found], inside[found], scores[found]
+            if len(who):
+                a, w, r = np.nonzero(inside)
+                hits.append((who[a], w, rows[r], scores[a, r]))
+                more = np.concatenate([top[who], np.where(inside, scores[:, None, :], -np.inf)], axis=-1)
+                top[who] = -np.partition(-more, wanted - 1, axis=-1)[..., :wanted]
+                need[who] = np.maximum(need[who], top[who].min(axis=-1))
+        none = np.zeros(0, np.int64)
+        a, w, r, score = (np.concatenate([none, *(h[k] for h in hits)]) for k in range(4))
+        kept = score >= need[a, w]
+        return a[kept], w[kept], r[kept], score[kept]
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
@@ -251,16 +274,25 @@ def _searched(wanted: int, same: bool):
         rows: list[tuple] = []
         if candidates.num_rows and anchors.num_rows:
             dim = candidates.column("dim")[0].as_py()
-            block = Candidates(
-                _matrix(candidates.column("vector"), dim),
-                candidates.column("label").to_numpy(),
-                candidates.column("ids").to_pylist(),
+            ids = candidates.column("ids").to_pylist()
+            block = Candidates(_matrix(candidates.column("vector"), dim), candidates.column("label").to_numpy(), ids)
+            own, windows = anchors.column("id").to_pylist(), anchors.column("windows").to_pylist()
+            # Anchors with fewer windows than others have some that nothing is in.
+            low = np.full((len(own), max(map(len, windows))), LONG[1])
+            high = np.full(low.shape, LONG[0])
+            for i, mine in enumerate(windows):
+                low[i, : len(mine)] = [w["low"] for w in mine]
+                high[i, : len(mine)] = [w["high"] for w in mine]
+            # The anchor itself may be among the rows of its label.
+            found = block.search(
+                _matrix(anchors.column("vector"), dim), low, high, wanted + same, anchors.column("label").to_numpy(), same
             )
-            columns = [anchors.column(c).to_pylist() for c in ("id", "label", "windows")]
-            for query, anchor, label, windows in zip(_matrix(anchors.column("vector"), dim), *columns):
-                found = block.search(query, windows, wanted, label, same, anchor)
-                for window, best in zip(windows, found):
-                    rows += [(anchor, window["positive"], window["score"], i, -score) for score, i in best]
+            each: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+            for a, w, r, score in zip(*(f.tolist() for f in found)):
+                each[a, w] += [(-score, i) for i in ids[r] if i != own[a] or not same]
+            for (a, w), best in each.items():
+                window = windows[a][w]
+                rows += [(own[a], window["positive"], window["score"], i, -score) for score, i in sorted(best)[:wanted]]
         return pa.table({n.split()[0]: pa.array([r[k] for r in rows], pa.int64()) for k, n in enumerate(FOUND.split(", "))})
 
     return run
