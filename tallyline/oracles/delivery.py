@@ -329,7 +329,7 @@ SQL = {
     "tuple_dump_load": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS placed_on,
                CASE WHEN o_orderkey % 20 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS total,
-               CASE WHEN o_orderkey % 10 = 3 THEN o_orderpriority || ', it''s due' ELSE o_orderpriority END AS priority
+               CASE WHEN o_orderkey % 10 = 3 THEN o_orderpriority || ', it''s' || chr(10) || 'due' ELSE o_orderpriority END AS priority
         FROM orders WHERE o_orderkey % 50 NOT IN (7, 9, 11)""",
     "tuple_dump_rejects": """
         SELECT '  (''' || o_orderkey || ''', '

@@ -1,4 +1,4 @@
-"""Loading a text dump of tuples, over a dump rendered from the orders."""
+"""Loading a text dump of tuples, over a dump file rendered from the orders."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyline.sources import parse_tuple_dump, read_table
+from tallyline.sources import load_tuple_dump, read_table, scratch_path
 
 ORDER_DUMP = T.StructType(
     [
@@ -20,7 +20,11 @@ ORDER_DUMP = T.StructType(
 
 
 def rendered_dump(spark: SparkSession, base: str) -> DataFrame:
-    """Every order as a dump line, some with NULL totals and some broken in one of three ways."""
+    """Every order as a dump tuple, about a thousand to a statement.
+
+    Some follow the word VALUES on its line, some hold a line break in their text or a NULL total, and some are
+    broken in one of three ways.
+    """
     key = F.col("o_orderkey")
 
     def quoted(col: Column) -> Column:
@@ -28,7 +32,7 @@ def rendered_dump(spark: SparkSession, base: str) -> DataFrame:
 
     placed = F.when(key % 50 == 7, "not a date").otherwise(F.to_date("o_orderdate").cast("string"))
     total = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
-    priority = F.concat(F.col("o_orderpriority"), F.when(key % 10 == 3, ", it's due").otherwise(""))
+    priority = F.concat(F.col("o_orderpriority"), F.when(key % 10 == 3, ", it's\ndue").otherwise(""))
     fields = F.concat_ws(
         ", ",
         quoted(key.cast("string")),
@@ -40,16 +44,24 @@ def rendered_dump(spark: SparkSession, base: str) -> DataFrame:
         quoted(priority),
     )
     closing = F.when(key % 50 == 11, "").when(key % 1000 == 0, ");").otherwise("),")
-    return read_table(spark, base, "orders").select(F.concat(F.lit("  ("), fields, closing).alias("value"))
+    opening = F.when(key % 7 == 2, "INSERT INTO orders VALUES").otherwise("")
+    return read_table(spark, base, "orders").select(F.concat(opening, F.lit("  ("), fields, closing).alias("value"))
+
+
+def dump_file(spark: SparkSession, base: str) -> str:
+    """A new folder with the rendered dump as text files."""
+    path = scratch_path(spark, "orders-dump")
+    rendered_dump(spark, base).write.text(path)
+    return path
 
 
 def tuple_dump_load(spark: SparkSession, base: str) -> DataFrame:
-    rows, _ = parse_tuple_dump(rendered_dump(spark, base), ORDER_DUMP)
+    rows, _ = load_tuple_dump(spark, dump_file(spark, base), ORDER_DUMP)
     return rows
 
 
 def tuple_dump_rejects(spark: SparkSession, base: str) -> DataFrame:
-    _, rejects = parse_tuple_dump(rendered_dump(spark, base), ORDER_DUMP)
+    _, rejects = load_tuple_dump(spark, dump_file(spark, base), ORDER_DUMP)
     return rejects
 
 

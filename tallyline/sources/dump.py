@@ -1,4 +1,4 @@
-"""Loader for text dumps that hold one parenthesised tuple of literals per line."""
+"""Loader for text dumps: statements that hold parenthesised tuples of literals."""
 
 from __future__ import annotations
 
@@ -6,11 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A quoted literal with doubled inner quotes, or a bare number or NULL.
-_FIELD = r"'[^']*(?:''[^']*)*'|[^',()\s]+"
-_TUPLE_LINE = rf"^\s*\(\s*(?:{_FIELD})(?:\s*,\s*(?:{_FIELD}))*\s*\)\s*[,;]?\s*$"
+# What ends a statement. A text that holds it is cut there, and both parts are rejected.
+SEPARATOR = ";\n"
 
-_BODY = r"^\s*\((.*)\)\s*[,;]?\s*$"
+# A quoted literal with doubled inner quotes, which may go on over lines, or a bare number or NULL. All repetitions
+# are possessive: a field can be read in one way only, and a long one takes no stack.
+_QUOTED = r"'[^']*+(?:''[^']*+)*+'"
+_FIELD = rf"(?:{_QUOTED}|[^',()\s]++)"
+_TUPLE = rf"\(\s*{_FIELD}(?:\s*,\s*{_FIELD})*+\s*\)"
+# What is closed but no tuple of literals, and what is never closed, which goes to the end of its line.
+_CLOSED = rf"\((?:{_QUOTED}|[^'()\n]|\([^'()\n]*+\))*+\)"
+_OPEN = r"\([^\n]*+"
+# A tuple begins a line, or follows the word VALUES or another tuple's comma.
+_START = r"(?:(?dm:^)|(?<=(?i:values))|(?<=\)[ \t]{0,16},))[ \t]*+"
+_PIECE = rf"{_START}(?:{_TUPLE}|{_CLOSED}|{_OPEN})[ \t]*+[,;]?"
+_WHOLE_PIECE = rf"^[ \t]*+{_TUPLE}[ \t]*+[,;]?$"
+
+_BODY = r"(?s)^\s*\((.*)\)\s*[,;]?\s*$"
 
 
 def _literal(field: Column) -> Column:
@@ -20,24 +32,27 @@ def _literal(field: Column) -> Column:
 
 
 def parse_tuple_dump(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Split dump lines (column ``value``) into a typed table and its rejected lines.
+    """Find the tuples in dump text (column ``value``: statements or lines) and split them into a typed table and
+    the rejected ones.
 
-    A line whose first character is ``(`` is a tuple; other lines are statement text and are skipped.
-    A tuple is rejected when it is malformed, has the wrong number of fields, or holds a value that
-    does not cast to its column's type. Returns ``(rows, rejects)`` where rejects has ``value`` and
-    ``reason``. Each line is parsed on its own, so any split of the file gives the same rows.
+    Tuples stand at the start of a line, after the word VALUES or after the comma that ends another one, so several
+    may share a line, and quoted texts may hold line breaks; other text is skipped. A tuple is rejected when it is
+    malformed, has the wrong number of fields, or holds a value that does not cast to its column's type: each one
+    found is in exactly one of the results. After a quote or parenthesis that is never closed, reading goes on with
+    the next line. Returns ``(rows, rejects)`` where rejects has ``value``, the tuple's text, and ``reason``. Each
+    row of ``lines`` is parsed on its own, so any split between statements gives the same rows.
     """
     names = schema.fieldNames()
-    body = F.regexp_extract("value", _BODY, 1)
+    piece = F.col("piece")
+    body = F.regexp_extract(piece, _BODY, 1)
     parsed = F.struct(
-        F.col("value").rlike(_TUPLE_LINE).alias("well_formed"),
+        piece.rlike(_WHOLE_PIECE).alias("well_formed"),
         F.transform(F.regexp_extract_all(body, F.lit(rf"({_FIELD})"), 1), _literal).alias("literals"),
     )
+    pieces = lines.select(F.explode(F.regexp_extract_all("value", F.lit(_PIECE), 0)).alias("piece"))
     # Exploding a one-item array keeps the regular expressions below the filters on their results;
-    # a plain projection would be copied into every such filter and evaluated many times per line.
-    tuples = lines.where(F.col("value").rlike(r"^\s*\(")).select(
-        "value", F.explode(F.array(parsed)).alias("parsed")
-    )
+    # a plain projection would be copied into every such filter and evaluated many times per tuple.
+    tuples = pieces.select(piece.alias("value"), F.explode(F.array(parsed)).alias("parsed"))
     literals = [F.get("parsed.literals", F.lit(i)) for i in range(len(names))]
     values = [literal.try_cast(field.dataType) for literal, field in zip(literals, schema.fields)]
     bad = [literal.isNotNull() & value.isNull() for literal, value in zip(literals, values)]
@@ -57,6 +72,13 @@ def parse_tuple_dump(lines: DataFrame, schema: T.StructType) -> tuple[DataFrame,
     )
 
 
-def load_tuple_dump(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """``parse_tuple_dump`` over the text file or folder at ``path``."""
-    return parse_tuple_dump(spark.read.text(path), schema)
+def load_tuple_dump(
+    spark: SparkSession, path: str, schema: T.StructType, separator: str = SEPARATOR
+) -> tuple[DataFrame, DataFrame]:
+    """``parse_tuple_dump`` over the text file or folder at ``path``.
+
+    A row is what lies between two ``separator`` texts, so files are split between statements. Where one statement
+    holds more than a task should, a separator between its tuples, such as a comma with a line break, cuts it finer;
+    no tuple may hold the separator in a quoted text.
+    """
+    return parse_tuple_dump(spark.read.option("lineSep", separator).text(path), schema)

@@ -6,8 +6,8 @@ Broadcasting is off and the limits for a skewed partition are tiny, so that join
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from compare import TABLES, assert_matches, connect
+from tallyline.plans.registry import QUERIES
 
 SOURCE = "/root/testdata/sf0.001"
 
@@ -52,13 +52,13 @@ def hot(spark, tmp_path_factory):
         spark.conf.unset(key)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle_under_skew(spark, hot, name):
     base, con = hot
     assert_matches(spark, con, base, name)
 
 
 def test_a_hot_join_is_split(spark, hot):
-    result = entry.queries()["favourite_item_per_customer"](spark, hot[0])
+    result = QUERIES["favourite_item_per_customer"](spark, hot[0])
     result.collect()
     assert "SortMergeJoin(skew=true)" in result._jdf.queryExecution().executedPlan().toString()

@@ -81,6 +81,49 @@ def test_every_tuple_is_either_loaded_or_rejected(spark, tmp_path):
     assert rows.count() + rejects.count() == candidates
 
 
+SHAPES = """\
+INSERT INTO plans VALUES (3, 'x', 1, NULL);
+insert into plans values(4, 'a; b', 2, '2021-01-01'), (5, 'two
+lines, (6, ''not a tuple'')', 3, NULL),
+(7, now(), 4, NULL), (8, 'after a call', 5, NULL)  ,  (9 'no comma', 6, NULL), (10, 'w', 7, NULL);
+-- it's a remark (with parentheses)
+CREATE TABLE other (k INTEGER, v VARCHAR(20));
+(11, 'its quote is open, 8, NULL),
+(12, 'found again', 9, NULL),
+(13, '', 10, NULL)"""
+
+
+def test_tuples_anywhere_in_a_statement(spark, tmp_path):
+    path = tmp_path / "plans.sql"
+    path.write_text(SHAPES)
+    rows, rejects = load_tuple_dump(spark, str(path), PLAN)
+    assert {r.plan_id: r.plan_name for r in rows.collect()} == {
+        3: "x", 4: "a; b", 5: "two\nlines, (6, 'not a tuple')", 8: "after a call", 10: "w", 12: "found again", 13: "",
+    }
+    assert sorted((r.value.strip(" ,"), r.reason) for r in rejects.collect()) == [
+        ("(11, 'its quote is open, 8, NULL)", "malformed tuple"),
+        ("(7, now(), 4, NULL)", "malformed tuple"),
+        ("(9 'no comma', 6, NULL)", "malformed tuple"),
+    ]
+
+
+def test_a_finer_separator_and_long_texts(spark, tmp_path):
+    path = tmp_path / "plans.sql"
+    long = "it''s " * 200_000
+    path.write_text("INSERT INTO plans VALUES\n" + ",\n".join(f"({i}, '{long}', {i}, NULL)" for i in range(5)) + ";\n")
+    for separator in (";\n", ",\n"):
+        rows, rejects = load_tuple_dump(spark, str(path), PLAN, separator)
+        assert sorted((r.plan_id, len(r.plan_name)) for r in rows.collect()) == [(i, 1_000_000) for i in range(5)]
+        assert rejects.count() == 0
+
+
+def test_a_dump_without_tuples(spark, tmp_path):
+    path = tmp_path / "plans.sql"
+    path.write_text("CREATE TABLE t (k INTEGER);\n")
+    rows, rejects = load_tuple_dump(spark, str(path), PLAN)
+    assert rows.count() == rejects.count() == 0
+
+
 def test_replace_and_append(spark, tmp_path):
     path = str(tmp_path / "t")
     first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
