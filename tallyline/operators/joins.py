@@ -29,10 +29,16 @@ def keep_if_in(df: DataFrame, key: str, members: DataFrame) -> DataFrame:
     return df.join(members.select(key).distinct(), key, "left_semi")
 
 
-def keep_if_not_in(df: DataFrame, key: str, members: DataFrame) -> DataFrame:
+def keep_if_not_in(df: DataFrame, key: str, members: DataFrame, null_aware: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not among the keys of ``members``; a NULL key is dropped.
 
-    NULL member keys are ignored, so this is a plain anti-join that shuffles at any size.
+    NULL member keys are ignored. With ``null_aware`` they count as NOT IN counts them: with one among the members
+    no row is kept, and a NULL key is kept where there are no members at all. Either way this is a plain anti-join
+    that shuffles at any size; what decides about NULLs is two counts in a one-value subquery.
     """
     keys = members.where(F.col(key).isNotNull()).select(key).distinct()
+    if null_aware:
+        no_null = members.agg(F.count_if(F.col(key).isNull()) == 0).scalar()
+        no_member = members.agg(F.count("*") == 0).scalar()
+        return df.where(no_null & (F.col(key).isNotNull() | no_member)).join(keys, key, "left_anti")
     return df.where(F.col(key).isNotNull()).join(keys, key, "left_anti")

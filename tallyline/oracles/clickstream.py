@@ -112,6 +112,19 @@ SQL = {
         query="""
         SELECT event_name, count(*) AS n_events FROM events LEFT JOIN labels_of ON word = event_type GROUP BY ALL""",
     ),
+    "categories_not_in": with_ctes(
+        CLICKS,
+        PAGES,
+        "seen AS (SELECT DISTINCT page_id, category FROM clicks JOIN site USING (page_id))",
+        "probes AS (SELECT DISTINCT category FROM seen)",
+        query="""
+        SELECT 'product pages' AS members, category FROM probes
+        WHERE category NOT IN (SELECT category FROM seen WHERE page_id BETWEEN 3 AND 6)
+        UNION ALL SELECT 'all first pages', category FROM probes
+        WHERE category NOT IN (SELECT category FROM seen WHERE page_id <= 6)
+        UNION ALL SELECT 'no pages', category FROM probes
+        WHERE category NOT IN (SELECT category FROM seen WHERE page_id > 13)""",
+    ),
     "purchase_visit_share": with_ctes(
         CLICKS,
         query=_share(

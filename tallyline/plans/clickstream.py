@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from tallyline.functions import ratio, year_month
 from tallyline.operators.funnel import funnel, rates
 from tallyline.operators.intervals import attribute_interval
-from tallyline.operators.joins import enrich, flag_if_in, keep_if_in
+from tallyline.operators.joins import enrich, flag_if_in, keep_if_in, keep_if_not_in
 from tallyline.operators.metrics import share_of_total
 from tallyline.operators.ranking import top_n
 from tallyline.plans import frames
 from tallyline.plans.frames import ADD, CLICK, CLICK_ANCHOR, IMPRESSION, PURCHASE, VIEW
-from tallyline.sources import materialise, replace_table
-from tallyline.sources.sinks import scratch_path, table_exists
+from tallyline.sources import materialise, stored
 
 CHECKOUT_PAGE = 12
 NO_CAMPAIGN = "No Campaign"
@@ -130,6 +129,25 @@ def top_products_by_purchase(spark: SparkSession, base: str, n: int = 3) -> Data
     return top_n(products.select("page_name", "n_purchases"), "n_purchases", ["page_name"], n)
 
 
+def categories_not_in(spark: SparkSession, base: str) -> DataFrame:
+    """Categories of the pages seen that are not among those of some of the pages, as NOT IN decides.
+
+    Pages of no category make a member NULL, with which nothing is kept; among no members nothing is, not even NULL.
+    """
+    seen = enrich(frames.clicks(spark, base).select("page_id").distinct(), frames.pages(spark), "page_id", "page_key")
+    among = {
+        "product pages": F.col("page_id").between(3, 6),
+        "all first pages": F.col("page_id") <= 6,
+        "no pages": F.col("page_id") > 13,
+    }
+    probes = seen.select("category").distinct()
+    kept = [
+        keep_if_not_in(probes, "category", seen.where(pages), null_aware=True).select(F.lit(name).alias("members"), "category")
+        for name, pages in among.items()
+    ]
+    return kept[0].union(kept[1]).union(kept[2])
+
+
 def _other_pages() -> list[str]:
     return [name for _, name, category, _ in frames.PAGES if category is None]
 
@@ -159,17 +177,10 @@ def product_funnel_by_views(spark: SparkSession, base: str) -> DataFrame:
     return _funnel(spark, base, "page_name").orderBy(F.desc("n_views"), "page_name")
 
 
-# Where each session has written the product funnel of a base folder.
-_FUNNELS: dict[tuple[str, str], str] = {}
-
-
 def _stored_funnel(spark: SparkSession, base: str) -> DataFrame:
-    """The product funnel as a table that a session writes once per base and all its readers share."""
-    key = (spark.sparkContext.applicationId, base)
-    if key not in _FUNNELS or not table_exists(spark, _FUNNELS[key]):
-        _FUNNELS[key] = scratch_path(spark, "product_funnel")
-        return replace_table(_funnel(spark, base, "page_name"), _FUNNELS[key])
-    return spark.read.parquet(_FUNNELS[key])
+    """The product funnel as a table that all its readers share as long as the events stay the same."""
+    events = f"{base}/events.parquet"
+    return stored(spark, "product_funnel", [events], lambda: _funnel(spark, base, "page_name"))
 
 
 def funnel_table(spark: SparkSession, base: str) -> DataFrame:
@@ -274,6 +285,7 @@ QUERIES = {
         views_and_adds_by_page,
         views_and_adds_by_category,
         top_products_by_purchase,
+        categories_not_in,
         product_funnel,
         category_funnel,
         product_funnel_by_views,

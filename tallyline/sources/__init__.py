@@ -1,5 +1,5 @@
 from tallyline.sources.dump import load_tuple_dump, parse_tuple_dump
-from tallyline.sources.sinks import append_literal_rows, append_rows, materialise, replace_table, scratch_path
+from tallyline.sources.sinks import append_literal_rows, append_rows, materialise, replace_table, scratch_path, stored
 from tallyline.sources.tables import SCHEMAS, literal_table, read_table
 
 __all__ = [
@@ -13,4 +13,5 @@ __all__ = [
     "read_table",
     "replace_table",
     "scratch_path",
+    "stored",
 ]

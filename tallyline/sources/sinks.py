@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyline.sources.tables import literal_table
 
@@ -57,6 +58,36 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Where each session has written a named result of input files in a given state.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def files_state(spark: SparkSession, *paths: str) -> str:
+    """A text that changes when a file in ``paths`` is written, replaced, added or removed.
+
+    It digests the names, lengths and times of change of the files, whose contents are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    # Sums in decimals, as the order in which files are listed must not matter.
+    digests = [F.sum(F.xxhash64(F.lit(seed), "path", "modificationTime", "length").cast("decimal(20,0)")) for seed in (1, 2)]
+    return "/".join(str(value) for value in files.agg(F.count("*"), *digests).first())
+
+
+def stored(spark: SparkSession, name: str, inputs: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` as a table that a session writes once for each state of the files in ``inputs``.
+
+    All later readers share it until one of the files changes; then it is built anew under another path, and frames
+    that read the earlier one stay as they are.
+    """
+    key = (spark.sparkContext.applicationId, name, f"{sorted(inputs)} {files_state(spark, *inputs)}")
+    if key not in _STORED or not table_exists(spark, _STORED[key]):
+        path = scratch_path(spark, name)
+        table = replace_table(build(), path)
+        _STORED[key] = path
+        return table
+    return spark.read.parquet(_STORED[key])
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once into the shared folder and return a frame reading the written table.
 

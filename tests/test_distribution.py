@@ -85,6 +85,20 @@ def test_equals_the_builtin_on_order_totals(spark):
     assert exact_percentiles(totals, "v", quartiles).first() == builtin.first()
 
 
+def test_three_reads_for_the_range_of_the_data(spark):
+    """One job for the smallest and largest value, and a plan that scans once per level."""
+    totals = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select(
+        F.col("o_totalprice").cast("decimal(18,2)").alias("v")
+    )
+    plan = exact_percentiles(totals, "v", PS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2
+
+
+def test_ranges_that_need_one_level_or_more(spark):
+    check(spark, [10**15 + n for n in (5, 3, 3, 9)], "bigint")
+    check(spark, [-(2**50), 2**50, 7, 7, 8], "bigint")
+
+
 def test_conditional_summary(spark):
     df = spark.createDataFrame([(1, Decimal("10.00")), (1, Decimal("5.00")), (0, None)], "m int, v decimal(9,2)")
     row = df.agg(

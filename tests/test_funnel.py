@@ -2,13 +2,16 @@ import random
 from collections import Counter
 from decimal import Decimal
 
-from tallyline.operators.funnel import funnel, rates
+import pytest
+
+from tallyline.operators.funnel import funnel, rates, spread_flag
 from tallyline.plans import clickstream, weekly
 
 BASE = "/root/testdata/sf0.001"
 
 
-def test_funnel_matches_brute_force_with_a_hot_visit(spark):
+@pytest.mark.parametrize("sliced", [False, True])
+def test_funnel_matches_brute_force_with_a_hot_visit(spark, sliced):
     rng = random.Random(3)
     events = [
         ("hot" if rng.random() < 0.35 else f"v{rng.randrange(60)}", rng.randrange(5), rng.choice([1, 2, 2, 3, 4]))
@@ -25,12 +28,24 @@ def test_funnel_matches_brute_force_with_a_hot_visit(spark):
             c["abandons"] += t == 2 and v not in buyers
             c["purchases"] += t == 2 and v in buyers
     df = spark.createDataFrame(events, "visit string, page int, step int")
-    got = funnel(df, ["page"], "visit", "step", 1, 2, 3).collect()
+    got = funnel(df, ["page"], "visit", "step", 1, 2, 3, sliced).collect()
     assert {r.page: (r.n_views, r.n_adds, r.n_abandons, r.n_purchases) for r in got} == {
         p: (c["views"], c["adds"], c["abandons"], c["purchases"]) for p, c in want.items()
     }
 
 
+def test_a_flag_is_spread_over_a_hot_key_in_slices(spark):
+    rows = [("hot", n, n == 77) for n in range(2000)] + [(None, n, False) for n in range(40)] + [("cold", 1, None)]
+    df = spark.createDataFrame(rows, "visit string, page int, flag boolean")
+    spread = spread_flag(df, "visit", "flag", ["page"], "any")
+    assert sorted(((r.visit or "", r.page), r.any) for r in spread.collect()) == sorted(
+        ((v or "", p), {"hot": True, None: False, "cold": None}[v]) for v, p, _ in rows
+    )
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert "hashpartitioning(coalesce(visit" in plan and "_slice" in plan
+
+
 def test_rate_of_nothing_is_null(spark):
     df = spark.createDataFrame([("a", 1, 3), ("b", 0, 0)], "k string, part int, whole int")
     got = {r.k: r.pct for r in rates(df, {"pct": ("part", "whole")}).collect()}
@@ -69,3 +84,17 @@ def test_later_readers_of_the_funnel_do_not_read_the_events(spark):
     assert sorted(later[0].collect()) == sorted(first)
     for frame in later:
         assert "events.parquet" not in "".join(frame.inputFiles())
+
+
+def test_rates_follow_the_events_file(spark, tmp_path):
+    """The stored funnel is kept while the file stays, and built anew when it is rewritten."""
+    base = str(tmp_path)
+    events = spark.read.parquet(f"{BASE}/events.parquet")
+    events.write.parquet(f"{base}/events.parquet")
+    first = clickstream.funnel_table(spark, base)
+    before = {r.page_name: r.n_views for r in first.collect()}
+    assert clickstream.funnel_table(spark, base).inputFiles() == first.inputFiles()
+    events.where("event_id % 2 = 0").write.mode("overwrite").parquet(f"{base}/events.parquet")
+    after = {r.page_name: r.n_views for r in clickstream.funnel_table(spark, base).collect()}
+    assert after == {r.page_name: r.n_views for r in clickstream.product_funnel(spark, base).collect()}
+    assert sum(after.values()) < sum(before.values())

@@ -1,7 +1,9 @@
 import datetime as dt
 import random
 
-from tallyline.operators.intervals import attribute_interval
+from pyspark.sql import functions as F
+
+from tallyline.operators.intervals import _candidates, _cut, attribute_interval
 
 START = dt.datetime(2024, 1, 1)
 
@@ -54,3 +56,26 @@ def test_no_points(spark):
 
 def test_a_point_without_a_time_is_kept(spark):
     assert attribute(spark, [(1, None), (2, hours(3))], [("a", hours(0), hours(9))]) == [(1, ""), (2, "a")]
+
+
+def test_candidates_stay_near_the_matches_in_a_crowded_day(spark):
+    """100,000 intervals of one to three seconds in a day, with one that is open and one that lasts all day."""
+    begin = F.timestamp_add("MICROSECOND", F.col("id") * 863_999, F.lit(START).cast("timestamp_ntz"))
+    short = spark.range(100_000).select(begin.alias("s"), F.timestamp_add("SECOND", F.col("id") % 3 + 1, begin).alias("e"))
+    long = spark.createDataFrame([(START, hours(24)), (START, dt.datetime(9999, 12, 31))], "s timestamp_ntz, e timestamp_ntz")
+    intervals = short.union(long).withColumn("name", F.monotonically_increasing_id())
+    at = F.timestamp_add("MILLISECOND", F.col("id") * 4_319, F.lit(START).cast("timestamp_ntz"))
+    points = spark.range(20_000).select("id", at.alias("at"))
+    times = points.select(F.col("at").alias("_at"))
+    found = _candidates(times, _cut(intervals, "s", "e", 0)).count()
+    matches = attribute_interval(points, "at", intervals, "s", "e").where("name IS NOT NULL").count()
+    assert 80_000 < matches <= found < 2 * matches
+    # Blocks are an eighth of an interval or a little less: at most 17 for each.
+    assert _cut(intervals, "s", "e", 0).count() <= 17 * 100_002
+
+
+def test_repeated_points_and_microseconds(spark):
+    tick = dt.timedelta(microseconds=1)
+    intervals = [("a", hours(1), hours(2)), ("b", hours(2) + tick, hours(3))]
+    points = [(n, t) for n in (1, 2) for t in (hours(2), hours(2) + tick, hours(3) + tick, dt.datetime(1899, 1, 1))]
+    assert attribute(spark, points, intervals, 0) == brute_force(points, intervals)

@@ -43,3 +43,14 @@ def test_membership_with_nulls_and_repeats(spark):
     assert [r.k for r in keep_if_in(df, "k", members).collect()] == [1, 1]
     assert [r.k for r in keep_if_not_in(df, "k", members).collect()] == [2]
 
+
+def test_not_in_with_nulls_is_what_sql_says(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    df.createOrReplaceTempView("probes")
+    for rows in ([(1,), (9,)], [(1,), (None,)], [(None,)], []):
+        members = spark.createDataFrame(rows, "k int")
+        members.createOrReplaceTempView("members")
+        want = spark.sql("SELECT k FROM probes WHERE k NOT IN (SELECT k FROM members)")
+        got = keep_if_not_in(df, "k", members, null_aware=True)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
