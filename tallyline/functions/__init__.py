@@ -3,6 +3,7 @@ from tallyline.functions.dates import (
     dow_sunday_zero,
     minutes_between,
     parse_date_text,
+    parse_time_text,
     year_month,
 )
 from tallyline.functions.numbers import mean, money, percent, ratio
@@ -19,6 +20,7 @@ __all__ = [
     "money",
     "null_if_sentinel",
     "parse_date_text",
+    "parse_time_text",
     "percent",
     "ratio",
     "strip_unit",

@@ -17,6 +17,27 @@ def parse_date_text(col: Column, pivot_year: int = 70) -> Column:
     return F.when(F.year(parsed) >= 2000 + pivot_year, F.add_months(parsed, -1200)).otherwise(parsed)
 
 
+# Year, month, day and what there is of hour, minute, second and its fraction, told apart by place: any one sign or
+# none may stand between two fields, and any few between the day and the hour.
+_TIME_FIELDS = (
+    r"^\s*(\d{4})\D?(\d{1,2})\D?(\d{1,2})"
+    r"(?:\D{0,3}(\d{1,2})(?:\D?(\d{1,2})(?:\D?(\d{1,2})(?:[.,](\d{1,6})\d*)?)?)?)?\s*Z?\s*$"
+)
+
+
+def parse_time_text(col: Column) -> Column:
+    """Time from text that gives its fields in order, whatever separates them; NULL if it is no time.
+
+    Missing hours, minutes and seconds are 0, digits of a second past the sixth are cut off, and a zone other than Z
+    is not read. ``2021-01-08 21:10:57``, ``2021/1/8 21.10`` and ``20210108T211057`` are read alike but for seconds.
+    """
+    fields = [F.regexp_extract(col, _TIME_FIELDS, i) for i in range(1, 8)]
+    year, month, day, hour, minute = (F.coalesce(f.try_cast("int"), F.lit(0)) for f in fields[:5])
+    whole = F.coalesce(fields[5].try_cast("int"), F.lit(0)).cast("string")
+    second = F.concat(whole, F.lit("."), fields[6], F.lit("0")).cast("decimal(8,6)")
+    return F.when(col.rlike(_TIME_FIELDS), F.try_make_timestamp_ntz(year, month, day, hour, minute, second))
+
+
 def dow_sunday_zero(col: Column) -> Column:
     return F.dayofweek(col) - 1
 

@@ -58,8 +58,8 @@ def _compare(period: str, by: str = "") -> str:
         WHERE period IS NOT NULL""")
 
 
-def _around(weeks: int) -> str:
-    change = "DATE '1998-06-15'"
+def _around(weeks: int, day: str = "1998-06-15") -> str:
+    change = f"DATE '{day}'"
     return f"""CASE WHEN week_date >= {change} - {7 * weeks} AND week_date < {change} THEN 'before'
         WHEN week_date >= {change} AND week_date < {change} + {7 * weeks} THEN 'after' END"""
 
@@ -99,6 +99,9 @@ SQL = {
         FROM weekly GROUP BY ALL"""),
     "before_after_4w": _compare(_around(4)),
     "before_after_12w": _compare(_around(12)),
+    "before_after_two_changes": f"""
+        SELECT DATE '1996-03-11' AS change_date, * FROM ({_compare(_around(4, "1996-03-11"))})
+        UNION ALL SELECT DATE '1998-06-15', * FROM ({_compare(_around(4))})""",
     "before_after_by_year": _compare(_BY_WEEK, "year_number"),
     "before_after_by_year_region": _compare(_BY_WEEK, "year_number, region"),
 }

@@ -16,7 +16,7 @@ from tallyline.functions import (
 from tallyline.operators.joins import enrich
 from tallyline.operators.ranking import top_n
 from tallyline.plans import frames
-from tallyline.sources import append_rows, literal_table, replace_table, scratch_path
+from tallyline.sources import append_rows, literal_table, replace_table, scratch_path, stored
 
 
 def _delivered() -> Column:
@@ -247,8 +247,14 @@ def ratings_build(spark: SparkSession, base: str) -> DataFrame:
     return append_rows(ratings, path)
 
 
+def _stored_ratings(spark: SparkSession, base: str) -> DataFrame:
+    """The ratings table, built once as long as the orders and their lines stay the same."""
+    inputs = [f"{base}/{name}.parquet" for name in ("orders", "lineitem")]
+    return stored(spark, "ratings_table", inputs, lambda: ratings_build(spark, base))
+
+
 def delivery_report(spark: SparkSession, base: str) -> DataFrame:
-    """One wide row per delivered order."""
+    """One wide row per delivered order, with the rating that the ratings table has for it."""
     per_product = frames.order_lines(spark, base).groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
     sizes = per_product.groupBy("order_id").agg(
         F.sum("n").alias("n_lines"), F.count("product_id").alias("n_products")
@@ -257,11 +263,13 @@ def delivery_report(spark: SparkSession, base: str) -> DataFrame:
         frames.deliveries(spark, base).where(F.col("pickup_time").isNotNull()),
         F.col("order_id") == F.col("delivery_order"),
     )
-    return _pickup_minutes(report).select(
+    ratings = _stored_ratings(spark, base).select(F.col("order_id").alias("rated_order"), "rating")
+    rated = enrich(_pickup_minutes(report), ratings, "order_id", "rated_order")
+    return rated.select(
         "order_id",
         "customer_id",
         "runner_id",
-        _rating(F.col("order_id")).alias("rating"),
+        "rating",
         "order_time",
         "pickup_time",
         F.col("minutes").alias("minutes_to_pickup"),

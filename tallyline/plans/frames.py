@@ -11,8 +11,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions import day_of, money
-from tallyline.operators.cleaning import null_sentinels, overwrite_where, retype, strip_units
+from tallyline.functions import day_of, money, parse_time_text
+from tallyline.operators.cleaning import null_sentinels, overwrite_where, strip_units
 from tallyline.operators.joins import enrich
 from tallyline.sources import literal_table, read_table
 
@@ -163,7 +163,7 @@ def deliveries(spark: SparkSession, base: str) -> DataFrame:
     cleaned = sentinel_free_deliveries(spark, base)
     for column, units in UNIT_WORDS.items():
         cleaned = strip_units(cleaned, column, units, "decimal(10,1)")
-    return retype(cleaned, {"pickup_time": "timestamp_ntz"})
+    return cleaned.withColumn("pickup_time", parse_time_text(F.col("pickup_time")))
 
 
 def dirty_order_lines(spark: SparkSession, base: str) -> DataFrame:

@@ -26,6 +26,8 @@ DEMOGRAPHICS = {"C%": "Couples", "F%": "Families"}
 UNKNOWN = "Unknown"
 
 CHANGE_DATE = dt.date(1998, 6, 15)
+# Two changes whose windows do not meet.
+CHANGE_DATES = (dt.date(1996, 3, 11), CHANGE_DATE)
 CHANGE_WEEK, WINDOW_WEEKS = 25, 4
 
 
@@ -183,6 +185,17 @@ def before_after_12w(spark: SparkSession, base: str) -> DataFrame:
     return _before_after(spark, base, 12)
 
 
+def before_after_two_changes(spark: SparkSession, base: str) -> DataFrame:
+    """The same comparison around two dates, four weeks either way; both spans reach the scan as one filter."""
+    window = dt.timedelta(weeks=4)
+    date = F.col("week_date")
+    sales = weekly_sales(spark, base, spans=[(c - window, c + window) for c in CHANGE_DATES])
+    periods = [period_around(date, change, 4) for change in CHANGE_DATES]
+    change = F.coalesce(*[F.when(p.isNotNull(), F.lit(c)) for p, c in zip(periods, CHANGE_DATES)])
+    compared = compare_periods(sales.withColumn("change_date", change), F.coalesce(*periods), "sales", ["change_date"])
+    return compared.orderBy("change_date", F.desc("period"))
+
+
 def _before_after_by_year(spark: SparkSession, base: str, *by: str) -> DataFrame:
     period = period_by_week(F.col("week_number"), CHANGE_WEEK, WINDOW_WEEKS)
     return compare_periods(weekly_sales(spark, base, *by), period, "sales", ["year_number", *by])
@@ -214,6 +227,7 @@ QUERIES = {
         avg_ticket_by_platform_year,
         before_after_4w,
         before_after_12w,
+        before_after_two_changes,
         before_after_by_year,
         before_after_by_year_region,
     )

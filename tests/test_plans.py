@@ -38,6 +38,16 @@ def test_season_reaches_the_scan(plan_of):
     assert plan.count("FileScan") == 1
 
 
+def test_two_seasons_reach_the_scan_as_one_filter(spark, plan_of):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = plan_of(weekly.before_after_two_changes)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = re.search(r"PushedFilters: .*", plan).group()
+    assert plan.count("FileScan") == 1 and "Or(" in pushed
+    for day in ("1996-02-12", "1998-05-18"):
+        assert f"GreaterThanOrEqual(l_shipdate,{day}" in pushed, pushed
+
+
 def test_event_type_reaches_the_scan(plan_of):
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)]" in plan_of(
         clickstream.signups_per_week
