@@ -54,8 +54,7 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the tables that this session has written to the shared folder; frames that read them end."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _session_dir(spark))
 
 
 # Where each session has written a named result of input files in a given state.
@@ -88,10 +87,26 @@ def stored(spark: SparkSession, name: str, inputs: Sequence[str], build: Callabl
     return spark.read.parquet(_STORED[key])
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` has written, once what was made of them is written itself."""
+    for table in tables:
+        path = getattr(table, "_scratch_path", None)
+        if path:
+            _delete(table.sparkSession, path)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once into the shared folder and return a frame reading the written table.
 
     Later readers start from the files, so a lost executor costs a re-read and not a recomputation,
     and each reader prunes columns for itself.
     """
-    return replace_table(df, scratch_path(df.sparkSession, name))
+    path = scratch_path(df.sparkSession, name)
+    table = replace_table(df, path)
+    table._scratch_path = path
+    return table

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from tallyline.sources import (
     append_literal_rows,
     append_rows,
+    discard,
     literal_table,
     load_tuple_dump,
     materialise,
@@ -176,6 +177,14 @@ def test_materialised_table_is_read_from_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_a_replaced_table_can_be_discarded(spark):
+    five, six = materialise(spark.range(5), "five"), materialise(spark.range(6), "six")
+    path = spark._jvm.org.apache.hadoop.fs.Path(five.inputFiles()[0])
+    discard(five, spark.range(2))
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    assert six.count() == 6
+
+
 def test_the_folder_named_by_the_session_wins():
     session = _Session("yarn", "hdfs://shared/points/")
     assert scratch_path(session, "t").startswith("hdfs://shared/points/tallyline/app/t-")
