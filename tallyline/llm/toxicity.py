@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.textmap import slices
-from tallyline.sources.sinks import materialise
+from tallyline.sources.sinks import discard, materialise
 
 ORDER = 5
 WORD = re.compile(r"[^\W\d_]+")
@@ -34,6 +34,8 @@ CURVE_DOCUMENTS = 20_000
 # and the small differences of many of them would hide a few words that matter.
 EVEN = 2.5
 TASK_GROUPS = 500_000
+# Words that are scored in one task, with the ratios of their letter groups.
+WORDS_PER_TASK = 100_000
 # Most frequent words, whose scores are sent to the tasks; all others are joined.
 SENT_WORDS = 100_000
 
@@ -137,7 +139,9 @@ def shared_estimates(grams: DataFrame) -> DataFrame:
         rest = discount * F.col("kinds") * F.col("p")
         p = (F.greatest(F.col("n") - discount, F.lit(0.0)) + rest) / F.col("sum")
         joined = counted.join(sums, "context").join(lower.withColumnRenamed("gram", "ending"), "ending")
-        lower = materialise(joined.select("gram", p.alias("p")), "shared")
+        shorter, lower = lower, materialise(joined.select("gram", p.alias("p")), "shared")
+        discard(shorter)
+    discard(*levels)
     return lower
 
 
@@ -155,14 +159,16 @@ class Model:
 
     def words(self, words: DataFrame) -> DataFrame:
         """``word`` and ``ratio`` of different words: their log-likelihood ratio, what lies within ``EVEN`` taken off."""
-        letters = words.select("word").mapInArrow(_letters, "word string, gram string")
-        letters = materialise(letters, "letters")
-        # A context is looked up once per letter group, so the one that all words begin with is no hot key.
-        found = letters.select("gram").distinct().withColumn("context", _context("gram"))
+        tasks = words.count() // WORDS_PER_TASK + 1
+        dealt = words.select("word", F.pmod(F.xxhash64("word"), F.lit(tasks)).alias("task"))
+        # Each task asks once for a letter group, however many of its words have it, so what all words begin with is
+        # asked for by the tasks and not by the words.
+        asked = dealt.repartition("task").mapInArrow(_asked, "task bigint, gram string")
+        asked = asked.withColumn("context", _context("gram"))
         contexts = self.contexts.select(F.col("gram").alias("context"), F.col("ratio").alias("other"))
-        found = found.join(self.groups, "gram", "left").join(contexts, "context", "left")
-        found = found.select("gram", F.coalesce("ratio", "other", F.lit(0.0)).alias("ratio"))
-        sums = letters.join(found, "gram").groupBy("word").agg(F.sum("ratio").alias("sum"))
+        found = asked.join(self.groups, "gram", "left").join(contexts, "context", "left")
+        found = found.select("task", "gram", F.coalesce("ratio", "other", F.lit(0.0)).alias("ratio"))
+        sums = dealt.groupBy("task").cogroup(found.groupBy("task")).applyInArrow(_sums, "word string, sum double")
         ratio = F.signum("sum") * F.greatest(F.abs("sum") - EVEN, F.lit(0.0))
         return sums.select("word", ratio.alias("ratio"))
 
@@ -175,16 +181,36 @@ class Model:
         return 1 / (1 + F.exp(-x))
 
 
-def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        grams = [(word, gram) for word in batch.column("word").to_pylist() for gram in letter_groups(word)]
-        columns = [pa.array([g[i] for g in grams], pa.string()) for i in (0, 1)]
-        yield pa.RecordBatch.from_arrays(columns, names=["word", "gram"])
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words and their tasks to the letter groups that each task needs, now and then one twice."""
+
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array([t for t, _ in asked], pa.int64()), pa.array([g for _, g in asked], pa.string())]
+        return pa.RecordBatch.from_arrays(columns, names=["task", "gram"])
+
+    asked: set[tuple[int, str]] = set()
+    for part in batches:
+        for piece in slices(iter([part]), "word"):
+            for word, task in zip(piece.column("word").to_pylist(), piece.column("task").to_pylist()):
+                asked.update((task, group) for group in letter_groups(word))
+            if len(asked) > TASK_GROUPS:
+                yield batch()
+                asked = set()
+    yield batch()
+
+
+def _sums(words: pa.Table, groups: pa.Table) -> pa.Table:
+    """Words of a task and the ratios it has asked for to the sum of each word."""
+    ratio = dict(zip(groups.column("gram").to_pylist(), groups.column("ratio").to_pylist()))
+    names = words.column("word")
+    sums = [sum(ratio[group] for group in letter_groups(word)) for word in names.to_pylist()]
+    return pa.table({"word": names, "sum": pa.array(sums, pa.float64())})
 
 
 def estimate(grams: DataFrame) -> Model:
     """The two models from all counts (``gram``, ``n0`` ordinary, ``n1`` toxic)."""
-    shared = shared_estimates(grams).select(F.col("gram").alias("ending"), "p")
+    lowest = shared_estimates(grams)
+    shared = lowest.select(F.col("gram").alias("ending"), "p")
     discounts = _discount_of(grams, "n0", "n1")
     grams = grams.withColumn("context", _context("gram")).withColumn("ending", _ending("gram"))
     each = [F.sum(f"n{k}").alias(f"sum{k}") for k in (0, 1)]
@@ -199,7 +225,9 @@ def estimate(grams: DataFrame) -> Model:
         logs.append(F.when(total[k] > 0, F.log(own / total[k])).otherwise(F.log("p")))
     joined = grams.join(sums, "context").join(shared, "ending")
     groups = materialise(joined.select("gram", (logs[1] - logs[0]).alias("ratio")), "ratios")
-    return Model(groups, materialise(contexts, "context-ratios"))
+    model = Model(groups, materialise(contexts, "context-ratios"))
+    discard(sums, lowest)
+    return model
 
 
 def fit_curve(ratios: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -247,6 +275,7 @@ def train(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         model.slope, model.intercept = fit_curve(
             seen.column("ratio").to_numpy(), seen.column("toxic").to_numpy().astype(np.float64)
         )
+    discard(labelled, grams, ratios)
     return model
 
 
@@ -282,6 +311,7 @@ def text_ratios(df: DataFrame, model: Model, text: str) -> DataFrame:
     scored = materialise(model.words(words), "word-ratios")
     frequent = words.orderBy(F.desc("n"), "word").limit(SENT_WORDS)
     sent = scored.join(frequent.hint("merge"), "word").select("word", "ratio").toArrow()
+    discard(words)
     sent = df.sparkSession.sparkContext.broadcast(dict(zip(*(sent.column(c).to_pylist() for c in ("word", "ratio")))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,7 +333,9 @@ def text_ratios(df: DataFrame, model: Model, text: str) -> DataFrame:
     others = parts.select("digest", F.explode("others").alias("word")).groupBy("digest", "word").agg(F.count("*").alias("k"))
     others = others.join(scored, "word").select("digest", F.lit(0).cast("bigint").alias("n"), (F.col("k") * F.col("ratio")).alias("part"))
     each = parts.select("digest", "n", "part").union(others)
-    return each.groupBy("digest").agg((F.sum("part") / F.sum("n")).alias("ratio"))
+    ratios = materialise(each.groupBy("digest").agg((F.sum("part") / F.sum("n")).alias("ratio")), "text-ratios")
+    discard(parts, scored)
+    return ratios
 
 
 def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") -> DataFrame:
@@ -312,7 +344,7 @@ def score(df: DataFrame, model: Model, text: str = "text", to: str = "score") ->
     Null and empty texts and texts without letters get the score of an even comparison; repeated rows score
     alike; an existing column named ``to`` is replaced.
     """
-    ratios = materialise(text_ratios(df, model, text), "text-ratios").withColumnRenamed("digest", "__digest")
+    ratios = text_ratios(df, model, text).withColumnRenamed("digest", "__digest")
     ratios = ratios.withColumnRenamed("ratio", "__ratio")
     joined = df.drop(to).withColumn("__of", _digest(text))
     joined = joined.join(ratios.hint("merge"), F.col("__of") == F.col("__digest"), "left")
