@@ -100,13 +100,23 @@ def discard(*tables: DataFrame) -> None:
             _delete(table.sparkSession, path)
 
 
+# What a query has shuffled can go once its result is written (public setting of Spark 4.1; unknown ones are ignored).
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once into the shared folder and return a frame reading the written table.
 
     Later readers start from the files, so a lost executor costs a re-read and not a recomputation,
-    and each reader prunes columns for itself.
+    and each reader prunes columns for itself. Its shuffle files are deleted with the end of the write.
     """
-    path = scratch_path(df.sparkSession, name)
-    table = replace_table(df, path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        table = replace_table(df.select("*"), path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     table._scratch_path = path
     return table
