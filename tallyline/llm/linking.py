@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import connected_components
-from tallyline.sources.sinks import materialise
+from tallyline.sources.sinks import discard, materialise
 
 # Items of a bucket that one task compares; a bucket with more is cut into blocks, and tasks take two of them.
 BLOCK = 512
@@ -144,9 +144,12 @@ def by_leaders(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     leaders = ranked.groupBy("bucket").agg(F.min(rank)["leader"].alias("leader"))
     led = materialise(ranked.join(leaders, "bucket").where("id != leader").select("bucket", "id", "n", "leader"), "led")
     pairs = led.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    discard(ranked)
     links = materialise(verify(pairs).select("a", "b"), "links")
     groups = materialise(connected_components(links), "groups")
     classed = led.join(groups, F.col("id") == F.col("node"), "left").select(
         "bucket", "id", F.coalesce("component", "id").alias("class")
     )
-    return links, materialise(laid_out(classed), "open")
+    open_ = materialise(laid_out(classed), "open")
+    discard(led, groups)
+    return links, open_
