@@ -70,18 +70,24 @@ def net_list(
     name: str,
     out: str,
     weight: str | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Per key, the net elements of its rows as ``'2xa, b'`` text in order of name.
 
     Each row brings the list ``base`` that ``bases`` holds for its ``base_key`` (one of ``keys``), less
     its ``removed`` and plus its ``added`` elements; counts of zero or less, elements without a name and keys
     with nothing left are left out. An id that ``names`` repeats shows under each of its names. ``weight``
-    names a column that counts how many equal rows a row stands for.
+    names a column that counts how many equal rows a row stands for. With ``parts`` the rows are dealt by their
+    keys once, into so many parts in which all else is done, and unfolded lists are never shuffled.
     """
     n = F.sum(weight) if weight else F.count("*")
-    alike = df.groupBy(*keys, removed, added).agg(n.alias("_lines"))
     bases = bases.select(F.col(base_key).alias("_base_key"), F.col(base).alias("_base"))
-    lines = alike.join(bases, alike[base_key] == F.col("_base_key"), "left")
+    if parts is None:
+        alike = df.groupBy(*keys, removed, added).agg(n.alias("_lines"))
+        lines = alike.join(bases, alike[base_key] == F.col("_base_key"), "left")
+    else:
+        based = df.join(bases, df[base_key] == F.col("_base_key"), "left").repartition(parts, *keys)
+        lines = based.groupBy(*keys, "_base", removed, added).agg(n.alias("_lines"))
     tally = signed_tally(lines, keys, "_element", "_base", removed, added, weight="_lines").where("net > 0")
     keyed = names.select(F.col(name_key).cast("bigint").alias("_id"), F.col(name).alias("_name"))
     named = tally.join(keyed.where("_name IS NOT NULL"), F.col("_element") == F.col("_id"))

@@ -19,7 +19,7 @@ from tallyline.operators.lists import (
     zip_lists,
 )
 from tallyline.plans import frames
-from tallyline.sources import append_literal_rows
+from tallyline.sources import append_literal_rows, parts_of
 
 NEW_ITEM = (-1, "house special")
 NEW_RECIPE_ITEM = "HOUSE SPECIAL"
@@ -104,11 +104,9 @@ def order_item_label(spark: SparkSession, base: str) -> DataFrame:
 
 def order_ingredient_list(spark: SparkSession, base: str) -> DataFrame:
     """Per order and item, ``item: 2xa, b``: the net ingredients of its lines in order of name."""
-    alike = (
-        frames.order_lines(spark, base)
-        .groupBy("order_id", "product_id", "removed", "added")
-        .agg(F.count("*").alias("n"))
-    )
+    same, parts = ["order_id", "product_id", "removed", "added"], parts_of(spark, base, "lineitem")
+    lines = frames.order_lines(spark, base).select(*same)
+    alike = lines.repartition(parts, *same).groupBy(*same).agg(F.count("*").alias("n"))
     lists = net_list(
         _with_item(spark, base, alike),
         ["order_id", "item"],
@@ -122,6 +120,7 @@ def order_ingredient_list(spark: SparkSession, base: str) -> DataFrame:
         "ingredient",
         "ingredients",
         weight="n",
+        parts=parts,
     )
     text = F.concat(F.col("item"), F.lit(": "), F.col("ingredients"))
     return lists.select("order_id", "item", text.alias("ingredient_list"))

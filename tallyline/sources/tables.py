@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -38,6 +39,21 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{base_dir}/{name}.parquet")
 
 
+# Bytes of a table's files that one task should have to group.
+PART_BYTES = 2 << 20
+
+
+def parts_of(spark: SparkSession, base_dir: str, name: str) -> int:
+    """Into how many parts rows derived from a table are dealt so that a task's share does not grow with the table.
+
+    Adaptive execution joins partitions until they hold 64 MB as they are shuffled; equal texts and near numbers
+    shrink so much there that the groups of one such partition take gigabytes. The file sizes are looked up, no job runs.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base_dir}/{name}.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return max(spark.sparkContext.defaultParallelism, math.ceil(size / PART_BYTES))
+
+
 def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str) -> DataFrame:
     """Typed table from rows written in the program.
 

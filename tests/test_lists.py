@@ -106,6 +106,22 @@ def test_net_list_matches_brute_force(lines, bases, names):
     assert {(r.o, r.item): r.text for r in got} == want
 
 
+def test_net_list_in_parts_gives_the_same_rows(lines, bases, names):
+    _, df = lines
+    twice = bases.unionByName(bases).unionByName(bases.sparkSession.createDataFrame([("A", "11")], bases.schema))
+    odd = df.unionByName(df.limit(9).withColumn("item", F.lit(None).cast("string"))).unionByName(
+        df.limit(5).withColumn("item", F.lit("C"))
+    )
+    for base in (bases, twice):
+        whole, dealt = (
+            net_list(
+                odd, ["o", "item"], "removed", "added", base, "item", "base", names, "id", "label", "text", parts=parts
+            )
+            for parts in (None, 7)
+        )
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_repeated_ids_and_names_that_are_null(spark, bases):
     odd = spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b"), (10, None)], "id int, label string")
     df = spark.createDataFrame([("A", None, "2"), ("A", "10", None)], "item string, removed string, added string")

@@ -6,6 +6,7 @@ import pytest
 
 from tallyline.plans import clickstream, delivery, ingredients, loyalty, transactions, weekly
 from tallyline.plans.registry import PLANS
+from tallyline.sources import tables
 
 BASE = "/root/testdata/sf0.001"
 
@@ -114,3 +115,25 @@ def test_building_a_list_query_starts_no_job(spark, plan):
     spark.sparkContext.setJobGroup(group, group)
     plan(spark, BASE)
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+
+
+@pytest.mark.parametrize(
+    "plan, dealt", [(ingredients.order_ingredient_list, 2), (lambda s, b: transactions.baskets(s, b, True), 2)]
+)
+def test_groups_are_dealt_into_parts_by_the_size_of_the_table(spark, plan, dealt, monkeypatch):
+    """Not by a partition count of the session, whose tasks would grow with the table."""
+    monkeypatch.setattr(tables, "PART_BYTES", 1000)
+    parts = tables.parts_of(spark, BASE, "lineitem")
+    assert parts > 50
+    text = plan(spark, BASE)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"hashpartitioning\([^)]*, {parts}\), REPARTITION_BY_NUM", text)) == dealt, text
+    # The elements of lists are not dealt out once more per key.
+    assert not re.search(r"hashpartitioning\(order_id[^)]*_element", text)
+
+
+def test_parts_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    spark.range(50_000).write.parquet(str(tmp_path / "t.parquet"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t.parquet").iterdir() if not f.name.startswith("."))
+    assert tables.parts_of(spark, str(tmp_path), "t") == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(tables, "PART_BYTES", size // 40)
+    assert tables.parts_of(spark, str(tmp_path), "t") >= 40
