@@ -9,7 +9,7 @@ from tallyline.functions import mean, percent
 from tallyline.operators.distribution import count_where, exact_percentiles, mean_where, one_row
 from tallyline.operators.joins import enrich
 from tallyline.plans import frames
-from tallyline.sources import materialise
+from tallyline.sources import materialise, parts_of
 
 REVENUE_PERCENTILES = {"revenue_p25": "0.25", "revenue_p50": "0.5", "revenue_p75": "0.75"}
 
@@ -70,11 +70,14 @@ def baskets(spark: SparkSession, base: str, with_member: bool) -> DataFrame:
     """One row per transaction: n_products, revenue after discount, discount, and the member flag.
 
     Lines are combined per transaction and product before they are priced, and per transaction before the
-    member flag is looked up.
+    member flag is looked up. Both times they are dealt into parts whose number grows with the table.
     """
     pct = F.col("discount_pct")
+    parts = parts_of(spark, base, "lineitem")
     per_product = (
         frames.basket_lines(spark, base)
+        .select("txn_id", "prod_id", "qty", "discount_pct")
+        .repartition(parts, "txn_id", "prod_id")
         .groupBy("txn_id", "prod_id")
         .agg(
             F.sum(F.col("qty") * (100 - pct)).alias("kept_pct"),
@@ -82,7 +85,7 @@ def baskets(spark: SparkSession, base: str, with_member: bool) -> DataFrame:
         )
     )
     priced = enrich(per_product, frames.prices(spark, base), "prod_id", "price_product")
-    per_txn = priced.groupBy("txn_id").agg(
+    per_txn = priced.repartition(parts, "txn_id").groupBy("txn_id").agg(
         F.count("*").alias("n_products"),
         F.sum(_hundredth(F.col("kept_pct") * F.col("price"))).cast("decimal(20,4)").alias("revenue"),
         F.sum(_hundredth(F.col("cut_pct") * F.col("price"))).cast("decimal(20,4)").alias("discount"),
