@@ -310,10 +310,13 @@ def text_ratios(df: DataFrame, model: Model, text: str) -> DataFrame:
     words = materialise(words, "words")
     scored = materialise(model.words(words), "word-ratios")
     frequent = words.orderBy(F.desc("n"), "word").limit(SENT_WORDS)
-    sent = scored.join(frequent.hint("merge"), "word").select("word", "ratio").toArrow()
-    discard(words)
+    chosen = materialise(scored.join(frequent.hint("merge"), "word").select("word", "ratio"), "sent-words")
+    sent = chosen.toArrow()
+    discard(words, chosen)
     sent = df.sparkSession.sparkContext.broadcast(dict(zip(*(sent.column(c).to_pylist() for c in ("word", "ratio")))))
 
+    counts = pa.map_(pa.string(), pa.int64())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         for part in slices(batches, "text"):
@@ -322,15 +325,16 @@ def text_ratios(df: DataFrame, model: Model, text: str) -> DataFrame:
                 part.column("digest"),
                 pa.array(map(len, found), pa.int64()),
                 pa.array([sum(known[w] for w in ws if w in known) for ws in found], pa.float64()),
-                pa.array([[w for w in ws if w not in known] for ws in found], pa.list_(pa.string())),
+                pa.array([[*Counter(w for w in ws if w not in known).items()] for ws in found], counts),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["digest", "n", "part", "others"])
 
     read = df.select(_digest(text).alias("digest"), F.col(text).alias("text"))
-    parts = read.mapInArrow(run, "digest binary, n bigint, part double, others array<string>")
+    parts = read.mapInArrow(run, "digest binary, n bigint, part double, others map<string, bigint>")
     parts = materialise(parts.where("n > 0"), "parts")
-    # What a row has of words that were sent, and what its other words add, are summed per text.
-    others = parts.select("digest", F.explode("others").alias("word")).groupBy("digest", "word").agg(F.count("*").alias("k"))
+    # What a row has of words that were sent, and what its other words add, are summed per text. A row has counted its
+    # other words itself, so they are shuffled once, to their ratios.
+    others = parts.select("digest", F.explode("others").alias("word", "k"))
     others = others.join(scored, "word").select("digest", F.lit(0).cast("bigint").alias("n"), (F.col("k") * F.col("ratio")).alias("part"))
     each = parts.select("digest", "n", "part").union(others)
     ratios = materialise(each.groupBy("digest").agg((F.sum("part") / F.sum("n")).alias("ratio")), "text-ratios")

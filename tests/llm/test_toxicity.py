@@ -116,3 +116,21 @@ def test_words_not_sent_are_joined(documents, model, monkeypatch):
     whole = [r["score"] for r in toxicity.score(df, model).orderBy("doc_id").collect()]
     monkeypatch.setattr(toxicity, "SENT_WORDS", 1)
     assert [r["score"] for r in toxicity.score(df, model).orderBy("doc_id").collect()] == pytest.approx(whole)
+
+
+def test_words_that_are_not_sent_are_shuffled_once(documents, model, monkeypatch):
+    """Each row counts its own; scores are the same whether words are sent or joined."""
+    docs = documents("the quiet river the the mill", "you grobnet grobnet", "you grobnet grobnet", None)
+    sent = [r["score"] for r in toxicity.score(docs, model).orderBy("doc_id").collect()]
+    plans = {}
+
+    def spy(df, name, write=toxicity.materialise):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(toxicity, "SENT_WORDS", 1)
+    monkeypatch.setattr(toxicity, "materialise", spy)
+    joined = [r["score"] for r in toxicity.score(docs, model).orderBy("doc_id").collect()]
+    assert joined == pytest.approx(sent) and len(sent) == 4
+    assert "Exchange hashpartitioning(digest" in plans["text-ratios"]
+    assert not any("word" in line for line in plans["text-ratios"].splitlines() if "hashpartitioning(digest" in line)
