@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,6 +275,65 @@ def test_alike_is_edit_similarity():
         assert line_dedup.alike(a, b) == (distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
 
 
+def pairs_of_lines(rnd):
+    """Texts and edited, turned, or unlike ones, of few and of many different characters."""
+    for _ in range(1500):
+        letters = rnd.choice(("ab", "abcdé \0", "".join(map(chr, range(60, 400))), "\U0001f600x\ud800"))
+        n = rnd.choice((0, 1, 20, 63, 64, 65, 129, 400))
+        a = "".join(rnd.choices(letters, k=n))
+        b = list(a) if rnd.random() < 0.8 else rnd.choices(letters, k=n)
+        turn = rnd.choice((0, 0, 0, rnd.randint(0, n)))
+        b = b[turn:] + b[:turn]
+        for _ in range(rnd.randint(0, n // 4 + 1)):
+            at = rnd.randint(0, len(b))
+            b[at : at + rnd.randint(0, 1)] = rnd.choices(letters, k=rnd.randint(0, 1))
+        yield (a, "".join(b)) if rnd.random() < 0.5 else ("".join(b), a)
+
+
+@pytest.mark.parametrize("together", [4096, 7])
+def test_pairs_decided_together_are_alike(monkeypatch, together):
+    monkeypatch.setattr(line_dedup, "TOGETHER", together)
+    left, right = zip(*pairs_of_lines(random.Random(10)))
+    expected = [line_dedup.alike(a, b) for a, b in zip(left, right)]
+    assert line_dedup._all_alike(left, right).tolist() == expected
+    assert 300 < sum(expected) < 1400
+    assert len(line_dedup._all_alike([], [])) == 0
+
+
+def test_few_pairs_are_compared_one_by_one(monkeypatch):
+    rnd, exact = random.Random(11), []
+    vocabulary = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(300)]
+    pairs = [edited(rnd, rnd.choices(vocabulary, k=40), 0.1) for _ in range(300)]
+    pairs += [tuple(" ".join(rnd.choices(vocabulary, k=40)) for _ in "ab") for _ in range(300)]
+    expected = [line_dedup.alike(a, b) for a, b in pairs]
+    slow = line_dedup.edit_similarity
+    monkeypatch.setattr(line_dedup, "edit_similarity", lambda a, b: exact.append(1) or slow(a, b))
+    assert line_dedup._all_alike(*map(list, zip(*pairs))).tolist() == expected
+    assert sum(expected) >= 290 and len(exact) < 60
+
+
+def test_buckets_of_a_task_ask_together():
+    def compare(columns, classes):
+        n = len(classes)
+        linked = yield list(columns["id"][: n - 1]), list(columns["id"][1:])
+        first = np.flatnonzero(linked)
+        if columns["bucket"][0] == 2:
+            yield [1], [2]
+        return first, first + 1
+
+    asked = []
+
+    def decide(left, right):
+        asked.append(len(left))
+        return np.array([(a + b) % 10 == 1 for a, b in zip(left, right)])
+
+    none = np.zeros(7, np.int64)
+    ids = np.array([10, 11, 12, 20, 21, 15, 16])
+    table = {"bucket": np.array([1, 1, 1, 2, 2, 3, 3]), "i": none, "j": none, "id": ids, "class": ids}
+    found = linking._units(compare, decide)(pa.table(table)).to_pydict()
+    assert asked == [4, 1] and found == {"a": [11, 16, 21], "b": [10, 15, 20]}
+
+
 def test_tasks_are_bounded_with_one_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(linking, "BLOCK", 16)
     # All but one of a bucket are connected already: one comparison each. Then none of them are.
