@@ -350,3 +350,70 @@ def test_tasks_are_bounded_with_one_large_bucket(spark, monkeypatch):
             met = rows.alias("a").join(rows.alias("b"), ["bucket", "i", "j"]).where("a.class < b.class")
             n = ids.groupBy(F.expr(name)).count().agg(F.min("count") * F.max("count")).first()[0]
             assert met.select("a.id", "b.id").distinct().count() == n
+
+
+def test_buckets_of_one_block_are_not_copied(spark):
+    members = spark.range(600).select((F.col("id") % 10).alias("bucket"), "id", (F.col("id") % 7 % 2).alias("class"))
+    rows = linking.dealt(linking.laid_out(members), 50).collect()
+    assert sorted((r["bucket"], r["id"]) for r in rows) == sorted((i % 10, i) for i in range(600))
+    assert len({(r["bucket"], r["i"], r["j"], r["task"]) for r in rows}) == 10
+
+
+@pytest.mark.parametrize("block", [512, 4])
+def test_rows_are_picked_once_in_any_unit(spark, monkeypatch, block):
+    monkeypatch.setattr(linking, "BLOCK", block)
+    members = spark.range(90).select((F.col("id") % 3).alias("bucket"), "id", (F.col("id") % 5).alias("class"))
+
+    def pick(columns, classes):
+        near = abs(columns["id"][:, None] - columns["id"]) == 12
+        return np.flatnonzero((near & (classes[:, None] != classes)).any(axis=1))
+
+    members = linking.laid_out(members)
+    rows = linking.picked_in_buckets(members, pick, 20)
+    assert rows.columns == members.columns
+    assert sorted(r["id"] for r in rows.collect()) == list(range(90))
+    assert linking.picked_in_buckets(members, lambda c, _: np.flatnonzero(c["id"] == 7), 20).count() == 1
+
+
+def test_keys_that_lines_share():
+    rnd, found = np.random.default_rng(12), []
+    keys = rnd.integers(-(2**63), 2**63 - 1, (80, line_dedup.BANDS))
+    keys[40:, 3], keys[60:, 5] = keys[:40, 3], keys[60, 5]
+    lines = np.arange(80)
+    lines[[11, 51]] = 10
+    keys[11] = keys[10]
+    batch = pa.RecordBatch.from_arrays([pa.array(lines), pa.array(list(keys))], names=["line", "bands"])
+    dealt = [r for b in line_dedup._by_part(7)(iter([batch.slice(0, 50), batch.slice(50)])) for r in b.to_pylist()]
+    for part in range(7):
+        some = pa.table({c: [r[c] for r in dealt if r["part"] == part] for c in ("buckets", "ids")})
+        found += [tuple(r.values()) for r in line_dedup._shared(some).to_pylist()]
+    holders = {}
+    for line, own in zip(lines.tolist(), keys.tolist()):
+        for key in own:
+            holders.setdefault(key, set()).add(line)
+    assert sorted(found) == sorted((k, i) for k, ids in holders.items() if len(ids) > 1 for i in ids)
+
+
+@pytest.mark.parametrize(("looked", "pairs"), [(1024, 1 << 18), (1024, 5), (4, 5)])
+def test_lines_near_no_other_leave_their_bucket(monkeypatch, looked, pairs):
+    monkeypatch.setattr(line_dedup, "LOOKED", looked)
+    monkeypatch.setattr(line_dedup, "LOOKED_PAIRS", pairs)
+    rnd = np.random.default_rng(13)
+    buckets = rnd.integers(0, 60, 300)
+    prints, sizes = rnd.integers(-(2**63), 2**63 - 1, 300), rnd.choice([40, 47, 90], 300)
+    prints[::3] = prints[0] ^ (1 << rnd.integers(0, 60, 100))
+    table = {"bucket": buckets, "id": np.arange(300), "print": prints, "size": sizes}
+    expected = {}
+    for i in range(300):
+        others = [j for j in range(300) if j != i and buckets[i] == buckets[j]]
+        bits = [int(np.bitwise_count((prints[i] ^ prints[j]).view(np.uint64))) for j in others]
+        near = any(
+            b <= line_dedup.MOST_BITS and abs(sizes[i] - sizes[j]) <= 0.2 * max(sizes[i], sizes[j]) + 1e-9
+            for b, j in zip(bits, others)
+        )
+        if near or len(others) >= looked:
+            expected[i] = buckets[i]
+    got = line_dedup._with_near(pa.table(table)).to_pylist()
+    assert {r["id"]: r["bucket"] for r in got} == expected and len(got) == len(expected) < 300
+    counts = Counter(expected.values())
+    assert all(r["n"] == counts[r["bucket"]] and r["print"] == prints[r["id"]] for r in got)
