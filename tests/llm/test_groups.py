@@ -417,3 +417,58 @@ def test_lines_near_no_other_leave_their_bucket(monkeypatch, looked, pairs):
     assert {r["id"]: r["bucket"] for r in got} == expected and len(got) == len(expected) < 300
     counts = Counter(expected.values())
     assert all(r["n"] == counts[r["bucket"]] and r["print"] == prints[r["id"]] for r in got)
+
+
+def test_pairs_below_the_threshold_are_decided_together(monkeypatch):
+    rnd, alone = random.Random(14), []
+    vocabulary = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(300)]
+    pairs = [edited(rnd, rnd.choices(vocabulary, k=n), share) for n in (30, 60, 200) for share in (0.2, 0.3) for _ in range(60)]
+    expected = [line_dedup.alike(a, b) for a, b in pairs]
+    one = line_dedup._alone_within
+    monkeypatch.setattr(line_dedup, "_alone_within", lambda *pair: alone.append(1) or one(*pair))
+    assert line_dedup._all_alike(*map(list, zip(*pairs))).tolist() == expected
+    assert 60 < sum(expected) < 300 and len(alone) < 40
+
+
+@pytest.mark.parametrize("least", [-50, 4, 10**6])
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "".join(map(chr, range(0x4E00, 0x4F00))), "x\U0001f600\ud800"])
+def test_bands_of_several_words_are_exact(monkeypatch, letters, least):
+    monkeypatch.setattr(line_dedup, "LEAST_PAIRS", least)
+    rnd, left, right, most = random.Random(15), [], [], []
+    for _ in range(60):
+        a = rnd.choices(letters, k=rnd.choice((5, 70, 200, 450)))
+        b = list(a)
+        for _ in range(rnd.randint(0, len(a) // 3)):
+            at = rnd.randint(0, len(b))
+            b[at : at + rnd.randint(0, 1)] = rnd.choices(letters, k=rnd.randint(0, 1))
+        a, b = sorted((a, b), key=len, reverse=True)
+        left.append("".join(a))
+        right.append("".join(b))
+        most.append(rnd.randint(0, 2 * len(a) // 3))
+    most = np.array(most)
+    found, open_ = line_dedup.within(left, right, most)
+    for i in open_:
+        found[i] = line_dedup._alone_within(left[i], right[i], int(most[i]))
+    expected = [(1 - line_dedup.edit_similarity(a, b)) * len(a) <= k + 0.5 for a, b, k in zip(left, right, most)]
+    # One pair at least is beyond its bound, and pairs left open are decided one by one.
+    assert found.tolist() == expected and 10 < sum(expected) < 60
+    assert (len(open_) > 0) == (least > 0) or least == 4
+
+
+def test_lines_are_sketched_once_a_task():
+    texts = ["one two three four five\nshort\nSIX seven eight  nine ten", None, "", "x y z x y\none two three four  five"]
+    batch = pa.RecordBatch.from_pydict({"id": [4, 5, 6, 7], "text": texts})
+    rows = [r for b in line_dedup._lines(iter([batch.slice(0, 3), batch.slice(3)])) for r in b.to_pylist()]
+    assert [(r["id"], r["position"]) for r in rows] == [(4, 0), (4, 2), (7, 0), (7, 1)]
+    assert rows[3] == {**rows[0], "id": 7, "position": 1, "print": None, "size": None, "bands": b""}
+    named = ["one two three four five", "six seven eight nine ten", "x y z x y"]
+    keys, prints = line_dedup.bands(named)
+    for row, line, key, print_ in zip(rows, named, keys, prints):
+        assert (row["size"], row["print"]) == (len(line), print_)
+        assert np.frombuffer(row["bands"], np.int64).tolist() == key.tolist()
+
+
+def test_first_line_of_a_document_stays_in_repeated_rows(documents):
+    line = "these five words come often"
+    rows = line_dedup.dropped_lines(documents((3, f"{line}\na\n{line}"), (2, f"b\n{line}\n{line}"), (2, f"{line}\nc")))
+    assert sorted(map(tuple, rows.collect())) == [(2, [1, 2]), (3, [0, 2])]
