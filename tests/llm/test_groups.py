@@ -472,3 +472,23 @@ def test_first_line_of_a_document_stays_in_repeated_rows(documents):
     line = "these five words come often"
     rows = line_dedup.dropped_lines(documents((3, f"{line}\na\n{line}"), (2, f"b\n{line}\n{line}"), (2, f"{line}\nc")))
     assert sorted(map(tuple, rows.collect())) == [(2, [1, 2]), (3, [0, 2])]
+
+
+def test_buckets_of_the_same_lines_are_one():
+    bucket, id_ = [1, 1, 2, 2, 2, 3, 3, 4, 4], [7, -8, 7, -8, 9, -8, 7, 7, 9]
+    named = line_dedup._named(pa.table({"bucket": bucket, "id": id_}))
+    rows = line_dedup._once(named.append_column("n", pa.array(range(9)))).to_pylist()
+    held = {}
+    for row in rows:
+        held.setdefault(row["bucket"], []).append(row["id"])
+    assert sorted(sorted(ids) for ids in held.values()) == [[-8, 7], [-8, 7, 9], [7, 9]]
+    none = pa.table({"bucket": pa.array([], pa.int64()), "id": pa.array([], pa.int64())})
+    assert len(line_dedup._once(line_dedup._named(none))) == 0
+
+
+def test_text_of_a_line_is_given_once_a_task():
+    line = line_dedup.xxhash.xxh3_128_digest("one two three four five")
+    places = [{"position": 1, "line": int.from_bytes(line[:8], "little", signed=True)}]
+    table = {"text": ["a\nOne two  three four five", "a\nother", "b\none two three four five"], "places": [places] * 3}
+    rows = [r for b in line_dedup._texts(iter([pa.RecordBatch.from_pydict(table)])) for r in b.to_pylist()]
+    assert rows == [{"id": places[0]["line"], "text": "one two three four five"}]
