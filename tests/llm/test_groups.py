@@ -492,3 +492,12 @@ def test_text_of_a_line_is_given_once_a_task():
     table = {"text": ["a\nOne two  three four five", "a\nother", "b\none two three four five"], "places": [places] * 3}
     rows = [r for b in line_dedup._texts(iter([pa.RecordBatch.from_pydict(table)])) for r in b.to_pylist()]
     assert rows == [{"id": places[0]["line"], "text": "one two three four five"}]
+
+
+def test_keys_of_some_bands():
+    keys = np.arange(5 * line_dedup.BANDS).reshape(5, -1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(list(keys))], names=["line", "bands"])
+    for k in (0, 1):
+        rows = [r for b in line_dedup._by_part(3, slice(k, None, 2))(iter([batch])) for r in b.to_pylist()]
+        found = [(key, line) for r in rows for key, line in zip(*(np.frombuffer(r[c], np.int64).tolist() for c in ("buckets", "ids")))]
+        assert sorted(found) == [(key, i) for i, own in enumerate(keys.tolist()) for key in own[k::2]]
