@@ -501,3 +501,94 @@ def test_keys_of_some_bands():
         rows = [r for b in line_dedup._by_part(3, slice(k, None, 2))(iter([batch])) for r in b.to_pylist()]
         found = [(key, line) for r in rows for key, line in zip(*(np.frombuffer(r[c], np.int64).tolist() for c in ("buckets", "ids")))]
         assert sorted(found) == [(key, i) for i, own in enumerate(keys.tolist()) for key in own[k::2]]
+
+
+def sketch_columns(lines):
+    _, planes = line_dedup.sketched(lines)
+    return {"size": np.array([len(line) for line in lines]), "print": planes[0], **dict(zip(line_dedup.MORE, planes[1:]))}
+
+
+def test_registers_agree_in_their_bits():
+    rnd = random.Random(16)
+    vocabulary = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(300)]
+    lines = [line for share in (0, 0.1, 0.3, 0.5) for _ in range(40) for line in edited(rnd, rnd.choices(vocabulary, k=40), share)]
+    found = line_dedup._mix(line_dedup.registers(lines)) & np.uint64(15)
+    columns, sizes = sketch_columns(lines), np.array([len(line) for line in lines])
+    i, j = (side.reshape(-1) for side in np.meshgrid(np.arange(len(lines)), np.arange(len(lines))))
+    bits = ((found[i, :64] ^ found[j, :64]) & np.uint64(1)).sum(axis=1)
+    first = (bits <= line_dedup.MOST_BITS) & (abs(sizes[i] - sizes[j]) <= 0.2 * np.maximum(sizes[i], sizes[j]) + 1e-9)
+    expected = first & ((found[i] == found[j]).sum(axis=1) >= line_dedup.LEAST_SAME)
+    assert line_dedup._close(columns, i, j).tolist() == expected.tolist()
+    # Without the other bits of the registers more pairs are near.
+    fewer = {c: columns[c] for c in ("size", "print")}
+    assert line_dedup._close(fewer, i, j).tolist() == first.tolist() and first.sum() > expected.sum() > len(lines)
+
+
+def test_unlike_lines_whose_fingerprints_are_near_do_not_meet():
+    """Lines of common words share a key by chance, and their number grows with the square of the table."""
+    rnd = random.Random(17)
+    vocabulary = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 5))) for _ in range(120)]
+    lines = [" ".join(rnd.choices(vocabulary, k=60)) for _ in range(2000)]
+    keys, _ = line_dedup.bands(lines)
+    columns, met = sketch_columns(lines), {}
+    fewer = {c: columns[c] for c in ("size", "print")}
+    for i, own in enumerate(keys.tolist()):
+        for key in own:
+            met.setdefault(key, []).append(i)
+    pairs = {(a, b) for ids in met.values() for b in ids for a in ids if a < b}
+    left, right = (np.array(side) for side in zip(*sorted(pairs)))
+    by_chance, still = line_dedup._close(fewer, left, right), line_dedup._close(columns, left, right)
+    texts = [np.array(lines)[side[by_chance & ~still]].tolist() for side in (left, right)]
+    assert by_chance.sum() > 40 and still.sum() < by_chance.sum() / 4
+    assert not line_dedup._all_alike(*texts).any()
+
+
+@pytest.mark.parametrize("n_words", [8, 12, 20, 30, 50, 120])
+def test_lines_that_are_alike_pass_all_of_the_sketch(n_words):
+    rnd, missed, n = random.Random(n_words), 0, 0
+    vocabulary = ["".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(3000)]
+    for share, single in ((0, False), (0.1, False), (0.18, False), (0.05, True), (0.1, True)):
+        pairs = [edited(rnd, rnd.choices(vocabulary, k=n_words), share, single) for _ in range(150)]
+        pairs = [p for p in pairs if line_dedup.edit_similarity(*p) >= 0.8]
+        columns = sketch_columns([line for p in pairs for line in p])
+        i = np.arange(0, 2 * len(pairs), 2)
+        first = line_dedup._close({c: columns[c] for c in ("size", "print")}, i, i + 1)
+        missed += (first & ~line_dedup._close(columns, i, i + 1)).sum()
+        n += len(pairs)
+    assert missed <= 0.005 * n
+
+
+@pytest.mark.parametrize("least", [1, 1 << 22])
+def test_shared_buckets_meet_their_sketches_in_turns(documents, monkeypatch, least):
+    for name, value in (("LEAST_PER_TURN", least), ("SKETCHES_PER_TASK", 3), ("LOOKED_PER_TASK", 7), ("KEYS_PER_TASK", 20)):
+        monkeypatch.setattr(line_dedup, name, value)
+    turns, one = [], line_dedup._shared_by_part
+    monkeypatch.setattr(line_dedup, "_shared_by_part", lambda parts, turn, n: turns.append((turn, n)) or one(parts, turn, n))
+    rnd = random.Random(18)
+    words = [[f"w{rnd.randrange(900)}" for _ in range(40)] for _ in range(5)]
+    lines = [" ".join(w[:k] + [f"y{k}"] + w[k + 1 :]) for w in words for k in (3, 9, 15, 21, 27, 33)]
+    rows = line_dedup.dedup_lines(documents(*lines, "none of these five words")).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in rows] == [int(k % 6 > 0) for k in range(30)] + [0]
+    assert [t for t, _ in turns] == list(range(turns[0][1])) and (len(turns) > 1) == (least == 1)
+
+
+def test_sketches_meet_the_buckets_of_their_lines():
+    rnd = np.random.default_rng(19)
+    ids = rnd.integers(-(2**63), 2**63 - 1, 50)
+    sketches = rnd.integers(-(2**63), 2**63 - 1, (50, len(line_dedup.SKETCH)))
+    known = pa.RecordBatch.from_arrays([pa.array(c) for c in (ids, *sketches.T)], names=["line", *line_dedup.SKETCH])
+    bucket, at = rnd.integers(0, 30, 120), rnd.integers(0, 50, 120)
+    listed = line_dedup._listed(pa.table({"bucket": bucket, "id": ids[at]})).to_batches()[0]
+    assert listed.column("n").to_pylist() == [120]
+    left = [r for t in range(3) for b in line_dedup._shared_by_part(4, t, 3)(iter([listed])) for r in b.to_pylist()]
+    right = [r for b in line_dedup._sketches_by_part(4)(iter([known.slice(0, 20), known.slice(20)])) for r in b.to_pylist()]
+    found = []
+    for part in range(4):
+        shared = pa.Table.from_pylist([r for r in left if r["part"] == part])
+        own = pa.Table.from_pylist([r for r in right if r["part"] == part])
+        met = line_dedup._with_sketches(5)(shared, own)
+        for row in met.to_pylist():
+            rows = line_dedup._rows(pa.table({"rows": [row["rows"]]})).to_pylist()
+            assert all(r["bucket"] % 5 == row["part"] for r in rows)
+            found += [tuple(r.values()) for r in rows]
+    assert sorted(found) == sorted((b, ids[k], *sketches[k]) for b, k in zip(bucket, at))
